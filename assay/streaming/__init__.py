@@ -1,0 +1 @@
+"""Kept empty on purpose: every capability of the engine is a batch operator."""
