@@ -61,8 +61,15 @@ def study(spark, folder: str) -> DataFrame:
     return spark.sql(STUDY.replace("<each>", EACH_SPARK), lineitem=read_table(spark, folder, "lineitem"))
 
 
+_SIGNAL_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def study_signals(spark, folder: str) -> DataFrame:
-    return signals(study(spark, folder), TARGET)
+    """The signals table of the study, written once per session; the rule queries read it."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _SIGNAL_TABLES:
+        _SIGNAL_TABLES[key] = materialise(signals(study(spark, folder), TARGET))
+    return _SIGNAL_TABLES[key]
 
 
 def _long_sql() -> str:
@@ -171,7 +178,7 @@ LISTS = ["near_cols", "sensitive_cols", "ordinal_cols", "outlier_cols", "hard_co
       has_datetime, high_card, round(scale_ratio, 4) as scale_ratio, scale_mismatch, duplicate_count,
       round(max_abs_corr, 4) as max_abs_corr, n_classes, round(imbalance_ratio, 4) as imbalance_ratio, high_dim from sig""")
 def signals_query(spark, folder):
-    s = study_signals(spark, folder)
+    s = signals(study(spark, folder), TARGET)
     return s.select(
         KEY, F.col("rows").alias("n_row"), F.col("cols").alias("n_col"), F.round("max_missing", 4).alias("max_missing"),
         F.concat_ws(",", "near_constant_cols").alias("near_cols"),
@@ -329,11 +336,11 @@ REPLAN_CTES = PLAN_CTES + f""",
     union all select dataset_id, 103, 'apply_robust_scaling', 'build_preprocessor' from iss where contains(t, 'instability') or contains(t, 'scaling')
     union all select dataset_id, 104, 'apply_regularization', 'train_models' from iss where contains(t, 'cross-validation mean')
     union all select dataset_id, 105, 'replan_attempt', null from iss),
-  fresh as (select e.dataset_id, e.step, rule, coalesce((select a.pos from plan a where a.dataset_id = e.dataset_id and a.step = e.anchor) - 0.5, 1000) as at
+  fresh as (select e.dataset_id, e.step, rule, coalesce((select a.pos from plan a where a.dataset_id = e.dataset_id and a.step = e.anchor) - 0.5, 1000) as spot
             from edits e anti join plan p on p.dataset_id = e.dataset_id and p.step = e.step
             qualify row_number() over (partition by e.dataset_id, e.step order by rule) = 1),
-  newplan as (select dataset_id, step, row_number() over (partition by dataset_id order by at, rule) - 1 as pos
-              from (select dataset_id, step, pos as at, 0 as rule from plan union all select dataset_id, step, at, rule from fresh))"""
+  newplan as (select dataset_id, step, row_number() over (partition by dataset_id order by spot, rule) - 1 as pos
+              from (select dataset_id, step, pos as spot, 0 as rule from plan union all select dataset_id, step, spot, rule from fresh))"""
 
 
 def study_replan(spark, folder) -> DataFrame:
@@ -345,11 +352,9 @@ def study_replan(spark, folder) -> DataFrame:
     round(case when contains(t, 'cross-validation mean') then greatest(0.2, least(0.2 + 0.1, 0.35)) else 0.2 end, 6)::double as test_share
     from newplan n join iss using (dataset_id)""")
 def replan_edits(spark, folder):
-    out = study_replan(spark, folder)
     share = F.when(F.col("widen_test"), rp.widened_test_share(F.lit(0.2))).otherwise(F.lit(0.2))
-    return out.select(KEY, F.posexplode("new_steps").alias("pos", "step"), "widen_test").withColumn(
-        "test_share", F.round(F.when(F.col("widen_test"), rp.widened_test_share(F.lit(0.2))).otherwise(F.lit(0.2)), 6)
-    ) if share is not None else None
+    edited = study_replan(spark, folder).select(KEY, F.posexplode("new_steps").alias("pos", "step"), "widen_test")
+    return edited.withColumn("test_share", F.round(share, 6))
 
 
 @query("plan_diff", f"""with {REPLAN_CTES} select dataset_id, 'added' as change, step from newplan anti join plan using (dataset_id, step) where step <> 'replan_attempt'
