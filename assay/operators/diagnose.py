@@ -159,6 +159,36 @@ def _rules(classification: bool) -> list[tuple[str, str, bool, Column, Column]]:
     ] + last
 
 
+# --- fixed values: wording of the issues; the plan edits look for these key words ---
+ISSUE_TEXT = {
+    "hard_leakage": "hard target leakage evidence",
+    "soft_leakage": "soft target-proxy risk",
+    "no_gain_after_replan": "replan attempted, still no better than baseline",
+    "weak_margin": "best model hardly better than baseline",
+    "low_r2": "R² is very low",
+    "instability_low_r2": "numerical instability beside low R², scaling may be the cause",
+    "near_perfect": "near-perfect scores of several models are suspicious",
+    "outliers_low_r2": "outliers present and R² is low",
+    "overfitting": "high balanced accuracy with low F1 suggests overfitting",
+    "f1_below_floor": "macro F1 is below its floor",
+    "severe_imbalance_weak": "severe class imbalance and weak gain over baseline",
+    "weak_class": "a class has very low F1",
+    "cv_gap": "held-out score differs from the cross-validation mean",
+    "cv_unstable": "scores vary across folds",
+    "low_diversity": "all models score alike",
+    "instability_weak_f1": "numerical instability beside weak F1, scaling may be the cause",
+    "history_drop": "score dropped against the earlier run",
+}
+
+
+def issue_texts(found: DataFrame) -> DataFrame:
+    """(dataset_id, issues): wording of the issues in report order."""
+    table = F.create_map(*[F.lit(x) for kv in ISSUE_TEXT.items() for x in kv])
+    rows = found.where(F.col("severity") == "issue")
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("pos", "rule"))), lambda r: F.element_at(table, r["rule"]))
+    return rows.groupBy(KEY).agg(texts.alias("issues"))
+
+
 def findings(ev: DataFrame, classification: bool = True) -> DataFrame:
     """(dataset_id, pos, rule, severity, review, value): every rule that fires, in report order."""
     fired = [

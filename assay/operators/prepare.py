@@ -163,8 +163,9 @@ def target_encode(
         (F.col("tn") - F.col("fn")).alias("gn"),
     )
     per_category = parts.groupBy("_c").agg(F.sum("s").alias("cs"), F.sum("ss").alias("css"), F.sum("n").alias("cn"))
-    mine = parts.join(per_category, F.col("_c").eqNullSafe(per_category["_c"])).select(
-        parts["_c"], "_f", (F.col("cs") - F.col("s")).alias("os"), (F.col("css") - F.col("ss")).alias("oss"),
+    per_category = per_category.withColumnRenamed("_c", "_cc")
+    mine = parts.join(per_category, F.col("_c").eqNullSafe(F.col("_cc"))).select(
+        "_c", "_f", (F.col("cs") - F.col("s")).alias("os"), (F.col("css") - F.col("ss")).alias("oss"),
         (F.col("cn") - F.col("n")).alias("on"),
     ).join(rest, "_f")
     g_mean = F.col("gs") / F.when(F.col("gn") > 0, F.col("gn"))

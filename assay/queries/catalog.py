@@ -1,3 +1,3 @@
 """Imports every query module so that its queries register."""
 
-from assay.queries import profile, study, findings, scores  # noqa: F401
+from assay.queries import findings, modelling, profile, scores, study  # noqa: F401
