@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from assay import thresholds as th
 from assay.functions import values as fv
 from assay.operators.counts import KEY
-from assay.operators.quantiles import weighted_quantiles
+from assay.operators.quality import column_cuts
 from assay.operators.schema import TEXT_KINDS
 
 
@@ -32,12 +32,30 @@ def _entropy_sum(n: Column) -> Column:
     return F.sum(n * F.log(n))
 
 
-def hard_leakage(joint: DataFrame, stats: DataFrame, target: str) -> DataFrame:
+def _can_match(stats: DataFrame, target: str) -> DataFrame:
+    """Columns that could still be a copy or mapping of the target.
+
+    With a gap-free target, a numeric column of more distinct values than the mapping bound can be
+    neither, so its values need not be compared at all.
+    """
+    table = Window.partitionBy(KEY)  # one row per column of the dataset
+    is_target = F.col("column_name") == target
+    y_values = F.max(F.when(is_target, F.col("n_unique"))).over(table)
+    y_full = F.max(F.when(is_target, F.col("n_present") == F.col("n_rows"))).over(table)
+    marked = stats.withColumns({"_y_values": y_values, "_y_full": y_full})
+    too_many = F.col("n_unique") > F.greatest(F.lit(20), F.col("_y_values") * 4)
+    measured = F.col("family").isin(fv.LONG, fv.DOUBLE, fv.TIME) & ~F.col("kind").isin(*TEXT_KINDS)
+    return marked.where(is_target | ~(F.col("_y_full") & measured & too_many)).drop("_y_values", "_y_full")
+
+
+def hard_leakage(joint: DataFrame, stats: DataFrame, target: str, all_columns: bool = True) -> DataFrame:
     """Per feature: exact copy of the target, or low-cardinality two-way mapping onto it.
 
     Three count levels: (feature, target) pairs, feature values, columns. A two-way mapping means
-    every value sees one target value and no target value is seen twice.
+    every value sees one target value and no target value is seen twice. ``all_columns=False`` leaves
+    out columns whose distinct count alone rules both out.
     """
+    stats = stats if all_columns else _can_match(stats, target)
     table = Window.partitionBy(KEY)  # one row per column of the dataset
     is_target = F.col("column_name") == target
     kinds = stats.select(
@@ -69,7 +87,7 @@ def hard_leakage(joint: DataFrame, stats: DataFrame, target: str) -> DataFrame:
     return columns.where(~is_target).select(KEY, "pos", "column_name", "n_values", reason.alias("reason"))
 
 
-def mutual_information(joint: DataFrame, stats: DataFrame, target: str, bins: int = th.MI_BINS) -> DataFrame:
+def mutual_information(joint: DataFrame, stats: DataFrame, target: str, cuts: DataFrame | None = None) -> DataFrame:
     """Bias-corrected mutual information of every feature with a class target, over target entropy.
 
     Numbers and times are cut at exact quantiles, other values count as they are. Both marginals come
@@ -84,12 +102,11 @@ def mutual_information(joint: DataFrame, stats: DataFrame, target: str, bins: in
         KEY, "pos", "column_name", "num", "txt", "y_num", "y_txt", "cnt",
         F.when(~F.col("kind").isin(*TEXT_KINDS), x).alias("x"), (~F.col("kind").isin(*TEXT_KINDS)).alias("is_number"),
     )
-    probs = [i / bins for i in range(1, bins)] + [0.5]
-    cuts = weighted_quantiles(rows, [KEY, "pos"], "x", "cnt", probs).select(
-        KEY, "pos", F.slice("q", 1, bins - 1).alias("cuts"), F.get("q", bins - 1).alias("median")
-    )
+    if cuts is None:
+        cuts = column_cuts(joint, stats)
+    cuts = cuts.select(KEY, "pos", F.col("q").alias("cuts"), F.get("q", th.MI_BINS // 2 - 1).alias("median"))
     filled = F.coalesce(F.col("x"), F.col("median"))
-    passed = [F.when(F.get("cuts", i) <= filled, 1).otherwise(0) for i in range(bins - 1)]
+    passed = [F.when(F.get("cuts", i) <= filled, 1).otherwise(0) for i in range(th.MI_BINS - 1)]
     bin_no = sum(passed[1:], passed[0]).cast("string")
     code = F.when(F.col("is_number"), bin_no).otherwise(
         F.coalesce(F.concat(F.lit("v:"), F.coalesce(F.col("txt"), F.col("num").cast("string"))), F.lit("null"))
@@ -131,7 +148,7 @@ def target_entropy(classes: DataFrame) -> DataFrame:
 
 def leakage_report(joint: DataFrame, stats: DataFrame, target: str, threshold: float = th.LEAKAGE_MI) -> DataFrame:
     """Hard evidence first, then soft evidence by score: (dataset, column, level, reason, score)."""
-    hard = hard_leakage(joint, stats, target).where(F.col("reason").isNotNull())
+    hard = hard_leakage(joint, stats, target, False).where(F.col("reason").isNotNull())
     hard = hard.select(KEY, "column_name", F.lit("hard").alias("level"), "reason", F.lit(None).cast("double").alias("normalised_mi"))
     soft = mutual_information(joint, stats, target).where(F.col("normalised_mi") >= threshold)
     soft = soft.join(hard.select(KEY, "column_name"), [KEY, "column_name"], "left_anti").select(

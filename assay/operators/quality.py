@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assay import thresholds as th
 from assay.functions import values as fv
-from assay.operators.counts import KEY
+from assay.operators.counts import KEY, LONG_TEXT
 from assay.operators.quantiles import weighted_quantiles
 from assay.operators.schema import NUMERIC_KINDS
 
@@ -16,15 +16,23 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def row_digest(df: DataFrame) -> Column:
-    """SHA-256 of a whole row with nulls marked, so wide rows shuffle as 32 bytes."""
-    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+def _row_key(df: DataFrame) -> list[Column]:
+    """All columns of a row as grouping keys; long texts and nested values as their SHA-256."""
+    out = []
+    for f in df.schema.fields:
+        c, family = F.col(f"`{f.name}`"), fv.family_of(f.dataType)
+        if family == fv.TEXT:
+            c = F.when(F.length(c) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(c, 256))).otherwise(c)
+        elif family == fv.OTHER:
+            c = F.sha2(F.to_json(F.struct(c), {"ignoreNullFields": "false"}), 256)
+        out.append(c.alias(f.name))
+    return out
 
 
 def duplicate_stats(df: DataFrame) -> DataFrame:
     """Rows, surplus copies and their share per dataset; copies are collapsed before the shuffle."""
-    groups = df.groupBy(KEY, row_digest(df).alias("digest")).agg(F.count(F.lit(1)).alias("copies"))
-    out = groups.groupBy(KEY).agg(F.sum("copies").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
+    groups = df.groupBy(*_row_key(df)).agg(F.count(F.lit(1)).alias("_copies"))
+    out = groups.groupBy(KEY).agg(F.sum("_copies").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
     extra = F.col("n_rows") - F.col("n_distinct")
     return out.select(
         KEY, "n_rows", extra.alias("duplicate_count"),
@@ -34,25 +42,35 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
 
 def numeric_counts(counts: DataFrame, stats: DataFrame, kinds=NUMERIC_KINDS) -> DataFrame:
     """Value counts of the numeric columns, text numbers parsed: (dataset, pos, x, cnt)."""
-    kept = stats.where(F.col("kind").isin(*kinds)).select(KEY, "pos", "column_name")
+    kept = stats.where(F.col("kind").isin(*kinds)).select(KEY, "pos", "column_name", "n_rows")
     x = F.coalesce(F.col("num"), fv.parse_number(F.col("txt")))
     rows = counts.select(KEY, "pos", x.alias("x"), "cnt").where(F.col("x").isNotNull())
     return rows.join(kept, [KEY, "pos"])
 
 
-def outlier_shares(counts: DataFrame, stats: DataFrame) -> DataFrame:
+def column_cuts(counts: DataFrame, stats: DataFrame, kinds=NUMERIC_KINDS + ("datetime",)) -> DataFrame:
+    """(dataset_id, pos, q): exact 5 %, 10 %, ..., 95 % quantiles of every numeric column.
+
+    The quartiles serve the outlier fences and the whole list cuts columns into bins.
+    """
+    numbers = numeric_counts(counts, stats, kinds)
+    probs = [i / th.MI_BINS for i in range(1, th.MI_BINS)]
+    return weighted_quantiles(numbers, [KEY, "pos"], "x", "cnt", probs, "n_rows").select(KEY, "pos", "q")
+
+
+def outlier_shares(counts: DataFrame, stats: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
     """Share of values outside the 1.5 IQR fences per numeric column; no row where the IQR is zero."""
     numbers = numeric_counts(counts, stats)
     by = [KEY, "pos", "column_name"]
-    fences = (
-        weighted_quantiles(numbers, by, "x", "cnt", [0.25, 0.75])
-        .select(KEY, "pos", F.get("q", 0).alias("q1"), F.get("q", 1).alias("q3"))
-        .where(F.col("q3") - F.col("q1") != 0)
-        .select(
-            KEY, "pos", "q1", "q3",
-            (F.col("q1") - th.FENCE * (F.col("q3") - F.col("q1"))).alias("low"),
-            (F.col("q3") + th.FENCE * (F.col("q3") - F.col("q1"))).alias("high"),
-        )
+    if cuts is None:
+        quartiles = weighted_quantiles(numbers, by, "x", "cnt", [0.25, 0.75], "n_rows")
+        quartiles = quartiles.select(KEY, "pos", F.get("q", 0).alias("q1"), F.get("q", 1).alias("q3"))
+    else:
+        first, third = th.MI_BINS // 4 - 1, 3 * th.MI_BINS // 4 - 1
+        quartiles = cuts.select(KEY, "pos", F.get("q", first).alias("q1"), F.get("q", third).alias("q3"))
+    reach = th.FENCE * (F.col("q3") - F.col("q1"))
+    fences = quartiles.where(F.col("q3") - F.col("q1") != 0).select(
+        KEY, "pos", "q1", "q3", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high")
     )
     outside = (F.col("x") < F.col("low")) | (F.col("x") > F.col("high"))
     return (

@@ -11,59 +11,62 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CELLS_PER_E_FOLD = 4096
 
+# A group of at most this many rows is ordered as one cell: counting its cells would not pay.
+ONE_CELL_ROWS = 100_000
+
 
 def _cell(v: Column) -> Column:
     """Never decreasing in v: equal or larger values never get a smaller cell."""
     return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * CELLS_PER_E_FOLD)).cast("long")
 
 
-def _holds_wanted_rank(probs: list[float]) -> Column:
-    """Unrolled test that compiles to plain comparisons; most cells stop here."""
+def _spots(probs: list[float]) -> list[Column]:
+    return [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
+
+
+def _holds_wanted_rank(probs: list[float], start: Column, weight: Column) -> Column:
+    """Unrolled test that compiles to plain comparisons; nearly every row stops here."""
     hit = F.lit(False)
-    for p in probs:
-        spot = F.lit(float(p)) * (F.col("total") - 1)
+    for spot in _spots(probs):
         for rank in (F.floor(spot), F.ceil(spot)):
-            hit = hit | ((rank >= F.col("before")) & (rank < F.col("before") + F.col("cell_w")))
+            hit = hit | ((rank >= start) & (rank < start + weight))
     return hit
 
 
 def weighted_quantiles(
-    counts: DataFrame, by: list[str], value: str, weight: str, probs: list[float]
+    counts: DataFrame, by: list[str], value: str, weight: str, probs: list[float], group_rows: str | None = None
 ) -> DataFrame:
     """(by..., n_values, q): q holds one quantile per wanted share, linear between neighbouring ranks.
 
-    ``counts`` holds rows of (by, value) with their weight; nulls are skipped.
+    ``counts`` holds rows of (by, value) with their weight; nulls are skipped. ``group_rows`` may name
+    a column with an upper bound of the group's rows, so that small groups skip the cells.
     """
-    cells = counts.where(F.col(value).isNotNull()).select(
-        *by, F.col(value).alias("v"), F.col(weight).alias("w"), _cell(F.col(value)).alias("cell")
-    )
+    v = F.col(value)
+    cell = _cell(v)
+    if group_rows is not None:
+        cell = F.when(F.col(group_rows) > ONE_CELL_ROWS, cell).otherwise(F.lit(0).cast("long"))
+    cells = counts.where(v.isNotNull()).select(*by, v.alias("v"), F.col(weight).alias("w"), cell.alias("cell"))
     per_cell = cells.groupBy(*by, "cell").agg(F.sum("w").alias("cell_w"))
     whole = Window.partitionBy(*by)
     upto = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spots = F.transform(F.array(*[F.lit(float(p)) for p in probs]), lambda p: p * (F.col("total") - 1))
     hit = (
         per_cell.withColumn("total", F.sum("cell_w").over(whole))
         .withColumn("before", F.sum("cell_w").over(upto) - F.col("cell_w"))
-        .where(_holds_wanted_rank(probs))
-        .withColumn("spots", spots)
-        .withColumn("ranks", F.array_union(F.transform("spots", lambda x: F.floor(x)), F.transform("spots", lambda x: F.ceil(x))))
-        .withColumn(
-            "ranks",
-            F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("cell_w"))),
-        )
-        .where(F.size("ranks") > 0)
-        .select(*by, "cell", "total", "before", "ranks")
+        .where(_holds_wanted_rank(probs, F.col("before"), F.col("cell_w")))
+        .select(*by, "cell", "total", "before")
     )
     inside = Window.partitionBy(*by, "cell").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    spots = F.transform(F.array(*[F.lit(float(p)) for p in probs]), lambda p: p * (F.col("total") - 1))
+    start = F.col("start")
     picked = (
         cells.join(hit, [*by, "cell"])
-        .withColumn("end", F.col("before") + F.sum("w").over(inside))
-        .select(
-            *by, "total", "v",
-            F.filter("ranks", lambda r: (r >= F.col("end") - F.col("w")) & (r < F.col("end"))).alias("ranks"),
-        )
+        .withColumn("start", F.col("before") + F.sum("w").over(inside) - F.col("w"))
+        .where(_holds_wanted_rank(probs, start, F.col("w")))
+        .withColumn("spots", spots)
+        .withColumn("ranks", F.array_union(F.transform("spots", lambda x: F.floor(x)), F.transform("spots", lambda x: F.ceil(x))))
+        .withColumn("ranks", F.filter("ranks", lambda r: (r >= start) & (r < start + F.col("w"))))
         .select(*by, "total", "v", F.explode("ranks").alias("rank"))
     )
     # Two entries per wanted share at most.

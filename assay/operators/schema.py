@@ -12,18 +12,23 @@ NUMERIC_KINDS = ("ordinal", "continuous")
 TEXT_KINDS = ("categorical", "text", "boolean", "all_missing")
 
 
-def _boolean_word() -> Column:
-    """The word itself if it can stand for a boolean, else 'other': at most nine values."""
-    words = [w for pair in th.BOOLEAN_WORD_PAIRS for w in pair]
+_WORDS = [w for pair in th.BOOLEAN_WORD_PAIRS for w in pair]
+
+
+def _word_bit() -> Column:
+    """One bit per word that can stand for a boolean, one more for any other text."""
     norm = fv.lower_trim(F.col("txt"))
-    return F.when(norm.isin(words), norm).otherwise(F.when(norm.isNotNull(), F.lit("other")))
+    bit = F.when(norm.isNotNull(), 1 << len(_WORDS))
+    for i, w in reversed(list(enumerate(_WORDS))):
+        bit = F.when(norm == w, 1 << i).otherwise(bit)
+    return bit
 
 
 def _kind(info: TableInfo, max_unique: int) -> Column:
     family = info.family_at(F.col("pos"))
     pair = F.lit(False)
     for a, b in th.BOOLEAN_WORD_PAIRS:
-        pair = pair | (F.col("words") == F.array(*[F.lit(w) for w in sorted((a, b))]))
+        pair = pair | (F.col("words") == (1 << _WORDS.index(a)) + (1 << _WORDS.index(b)))
     share = fv.safe_divide(F.col("int_like"), F.col("n_numeric"))
     numeric = F.when(
         F.col("numeric_unique").between(1, max_unique) & (share >= th.INTEGER_SHARE), "ordinal"
@@ -55,7 +60,7 @@ def column_stats(counts: DataFrame, info: TableInfo, max_unique: int = th.CATEGO
         x.alias("x"),
         whole.alias("whole"),
         (family == fv.TEXT).alias("is_text"),
-        F.when(family == fv.TEXT, _boolean_word()).alias("word"),
+        F.when(family == fv.TEXT, _word_bit()).alias("word"),
     )
     cnt, given = F.col("cnt"), F.col("present")
     n = lambda cond: F.coalesce(F.sum(F.when(cond, cnt)), F.lit(0))
@@ -70,7 +75,7 @@ def column_stats(counts: DataFrame, info: TableInfo, max_unique: int = th.CATEGO
         n(F.col("x") % 1 == 0).alias("n_whole"),
         F.min("x").alias("min_num"),
         F.max("x").alias("max_num"),
-        F.sort_array(F.collect_set("word")).alias("words"),
+        F.coalesce(F.bit_or("word"), F.lit(0)).alias("words"),
         F.count_distinct(F.when(F.col("is_text"), F.col("x"))).alias("text_numbers"),
     )
     stats = stats.withColumn(

@@ -55,11 +55,11 @@ def signals(
     stats = materialise(schema.column_stats(joint, info)) if stats is None else stats
     base = _from_stats(stats, target)
 
-    counts = joint.groupBy(KEY, "pos", "num", "txt").agg(F.sum("cnt").alias("cnt"))
-    outliers = quality.outlier_shares(counts, stats).where(
+    cuts = materialise(quality.column_cuts(joint, stats))
+    outliers = quality.outlier_shares(joint, stats, cuts).where(
         F.col("is_outlier_column") & (F.col("column_name") != target)
     )
-    hard = leakage.hard_leakage(joint, stats, target).where(F.col("reason").isNotNull())
+    hard = leakage.hard_leakage(joint, stats, target, all_columns=False).where(F.col("reason").isNotNull())
     corr = pairs.strongest_pairs(pairs.correlation_pairs(df), stats, th.HIGH_CORR)
     clear = (F.col("col_a") != target) & (F.col("col_b") != target)
     corr = corr.groupBy(KEY).agg(
@@ -74,7 +74,7 @@ def signals(
         .join(corr, KEY, "left")
     )
     if classification:
-        soft = leakage.mutual_information(joint, stats, target).where(F.col("normalised_mi") >= th.LEAKAGE_MI)
+        soft = leakage.mutual_information(joint, stats, target, cuts).where(F.col("normalised_mi") >= th.LEAKAGE_MI)
         soft = soft.join(hard.select(KEY, "column_name"), [KEY, "column_name"], "left_anti")
         out = out.join(_listed(soft, "soft_cols"), KEY, "left").join(quality.class_balance(df, target), KEY, "left")
     else:
