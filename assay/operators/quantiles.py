@@ -20,17 +20,21 @@ def _cell(v: Column) -> Column:
     return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * CELLS_PER_E_FOLD)).cast("long")
 
 
-def _spots(probs: list[float]) -> list[Column]:
-    return [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
+def _grid(probs: list[float]) -> int:
+    """Smallest m such that every share is a multiple of 1/m."""
+    for m in range(1, 1001):
+        if all(abs(p * m - round(p * m)) < 1e-9 for p in probs):
+            return m
+    raise ValueError("quantile shares must be multiples of 1/m for some m up to 1000")
 
 
-def _holds_wanted_rank(probs: list[float], start: Column, weight: Column) -> Column:
-    """Unrolled test that compiles to plain comparisons; nearly every row stops here."""
-    hit = F.lit(False)
-    for spot in _spots(probs):
-        for rank in (F.floor(spot), F.ceil(spot)):
-            hit = hit | ((rank >= start) & (rank < start + weight))
-    return hit
+def _grid_range(m: int, start: Column, weight: Column) -> tuple[Column, Column]:
+    """Grid steps i whose spot i (total - 1) / m may belong to rows [start, start + weight).
+
+    A wanted rank is less than one off its spot; the slack keeps rounding from losing a step.
+    """
+    last = F.greatest(F.col("total") - 1, F.lit(1)).cast("double")
+    return F.ceil((start - 1) * m / last - 1e-6), F.floor((start + weight) * m / last + 1e-6)
 
 
 def weighted_quantiles(
@@ -49,30 +53,41 @@ def weighted_quantiles(
     per_cell = cells.groupBy(*by, "cell").agg(F.sum("w").alias("cell_w"))
     whole = Window.partitionBy(*by)
     upto = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    m = _grid(probs)
+    first, last = _grid_range(m, F.col("before"), F.col("cell_w"))
     hit = (
         per_cell.withColumn("total", F.sum("cell_w").over(whole))
         .withColumn("before", F.sum("cell_w").over(upto) - F.col("cell_w"))
-        .where(_holds_wanted_rank(probs, F.col("before"), F.col("cell_w")))
+        .where(first <= last)
         .select(*by, "cell", "total", "before")
     )
     inside = Window.partitionBy(*by, "cell").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    spots = F.transform(F.array(*[F.lit(float(p)) for p in probs]), lambda p: p * (F.col("total") - 1))
+    share_at = {round(p * m): float(p) for p in probs}
+    shares = F.array(*[F.lit(share_at.get(i)).cast("double") for i in range(m + 1)])
     start = F.col("start")
+    first, last = _grid_range(m, start, F.col("w"))
+    low, high = F.floor(F.col("spot")), F.ceil(F.col("spot"))
+    held = lambda rank: (rank >= start) & (rank < start + F.col("w"))
     picked = (
         cells.join(hit, [*by, "cell"])
         .withColumn("start", F.col("before") + F.sum("w").over(inside) - F.col("w"))
-        .where(_holds_wanted_rank(probs, start, F.col("w")))
-        .withColumn("spots", spots)
-        .withColumn("ranks", F.array_union(F.transform("spots", lambda x: F.floor(x)), F.transform("spots", lambda x: F.ceil(x))))
-        .withColumn("ranks", F.filter("ranks", lambda r: (r >= start) & (r < start + F.col("w"))))
-        .select(*by, "total", "v", F.explode("ranks").alias("rank"))
+        .where(first <= last)
+        .select(*by, "total", "v", "w", "start", F.explode(F.sequence(first, last)).alias("step"))
+        .withColumn("spot", F.get(shares, F.col("step").cast("int")) * (F.col("total") - 1))
+        .where(F.col("spot").isNotNull())
+        .select(*by, "total", "v", F.explode(F.array(
+            F.when(held(low), low), F.when(held(high) & (high != low), high))).alias("rank"))
+        .where(F.col("rank").isNotNull())
+        .distinct()
     )
     # Two entries per wanted share at most.
     found = picked.groupBy(*by, "total").agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at")
     )
+    spots = F.transform(F.array(*[F.lit(float(p)) for p in probs]), lambda p: p * (F.col("total") - 1))
+
     def between(spot: Column) -> Column:
         low, high = F.element_at("at", F.floor(spot)), F.element_at("at", F.ceil(spot))
         return F.when(low == high, low).otherwise(low + (high - low) * (spot - F.floor(spot)))
