@@ -212,5 +212,5 @@ def smote(spark, folder):
 @query("auto_model")
 def auto_model(spark, folder):
     """Whole run on labelled documents: every report row."""
-    result = run_auto_model(quality_table(spark, folder), "auto", "documents", budget=SMALL_BUDGET, max_replans=1, tune_samples=2)
+    result = run_auto_model(quality_table(spark, folder), "auto", "documents", budget=SMALL_BUDGET, max_replans=0, tune_samples=2)
     return result.tables.get("report", result.tables["notes"])
