@@ -122,7 +122,7 @@ def fit(
     elif name == "RandomForest":
         est = _trees(mc.RandomForestClassifier, spec, budget, seed, **weight)
     elif name == "SVC_RBF":
-        svc = mc.LinearSVC(featuresCol="features", labelCol="y", regParam=1.0 / n, maxIter=100, **weight)
+        svc = mc.LinearSVC(featuresCol="features", labelCol="y", regParam=1.0 / n, maxIter=min(100, budget.iterations), **weight)
         est = svc if n_classes <= 2 else mc.OneVsRest(classifier=svc, featuresCol="features", labelCol="y", **weight)
     elif name in ("GradientBoosting", "HistGradientBoosting"):
         gbt = _boosted(mc.GBTClassifier, spec, budget, seed, name.startswith("Hist"))

@@ -15,6 +15,7 @@ from assay.operators.models import Budget, Spec, fit, sampled_params
 from assay.session import materialise
 
 MAX_CLASSES = 100
+ROWS_PER_TASK = 20_000
 ROW = "_row"
 
 
@@ -96,7 +97,8 @@ def _prepared(task: Task, train: DataFrame) -> tuple[Preparation, DataFrame, dic
         top = prepare.modes(ready, ["y"]).first()["mode_value"]
     facts = ready.agg(F.count("y").alias("n"), F.avg("y").alias("mean"), F.stddev_pop("y").alias("std")).first().asDict()
     facts["mode"] = top if task.classification else 0.0
-    return preparation, ready, facts
+    # Iterative fits run one small job per step: a tiny table must not be spread over many tasks.
+    return preparation, ready.coalesce(max(1, -(-int(facts["n"]) // ROWS_PER_TASK))), facts
 
 
 def _predict(task: Task, model: Transformer, ready: DataFrame, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ from assay.queries.study import NUMERIC, PLAN_CTES, SIGNAL_CTES, TARGET, study,
 from assay.run import auto_model as run_auto_model
 from assay.session import materialise
 
-SMALL_BUDGET = Budget(trees=10, depth=5, rounds=10, iterations=100)
+SMALL_BUDGET = Budget(trees=10, depth=5, rounds=10, iterations=50)
 
 CANDIDATE_CTES = PLAN_CTES + """,
   st2 as (select dataset_id, list(step) as steps from plan group by all),
