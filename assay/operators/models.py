@@ -15,7 +15,7 @@ from assay.operators.counts import KEY
 
 @dataclass(frozen=True)
 class Budget:
-    """Model sizes; the defaults are the reference settings, tests and small clusters pick less."""
+    """Model sizes; the defaults are the full settings, tests and small clusters pick less."""
 
     trees: int = th.TREES
     depth: int = 30
