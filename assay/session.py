@@ -1,21 +1,32 @@
-"""Session helpers: materialised intermediate tables and input spreading."""
+"""Shared intermediate tables: where they go, how they are written and dropped."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder the cluster names in spark.checkpoint.dir.
+
+    Only a local session, whose one machine is its whole cluster, gets a temporary folder where none is
+    named; it is deleted when the process ends. Any other session without the setting is an error.
+    """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="assay-"))
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="assay-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -27,10 +38,13 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of too few splits one partition per core; leaves large inputs alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def release(spark: SparkSession) -> None:
+    """Delete every table materialise() has written so far; call it once their readers are done."""
+    sc = spark.sparkContext
+    while _written:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

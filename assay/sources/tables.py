@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assay.functions import values as fv
-from assay.session import spread
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One Parquet table; scans of fewer splits than cores are spread out."""
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+    """One Parquet table; spark.sql.files.maxPartitionBytes sets the size of its splits."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def missing_to_null(df: DataFrame) -> DataFrame:
