@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import minhash
+from assay.llm import bpe, idfile, minhash, quality, tiling
+from assay.session import shared_folder
 from assay.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +29,38 @@ def query(name: str, check: str | None = None):
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets are similar by 85 in 100 or more."""
     return minhash.near_duplicates(read_table(spark, folder, "documents"), shingle=3, percent=85)
+
+
+@query("op5_token_ids")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, written as id files and read back."""
+    import public_tokenizers
+
+    target = f"{shared_folder(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
+    idfile.write_ids(read_table(spark, folder, "documents"), target, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    docs = idfile.read_ids(spark, target)
+    return docs.select(
+        F.col("id").cast("long").alias("doc_id"), "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+@query("op8_decontaminate")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that documents hold, in whole or in reordered parts."""
+    return tiling.contaminated(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document and whether it is kept."""
+    scored = quality.classify(read_table(spark, folder, "documents"))
+    return scored.select("doc_id", "quality_score", F.col("accepted").alias("kept"))
+
+
+@query("op10_byte_bpe")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE ids of every document and what they decode to, as digests."""
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.encode_decode(read_table(spark, folder, "documents"), path, pattern)
