@@ -42,9 +42,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table materialise() has written so far; call it once their readers are done."""
+def tables_written() -> list[str]:
+    """Folders of the tables materialise() has written and nothing has dropped yet, oldest first."""
+    return list(_written)
+
+
+def drop_tables(spark: SparkSession, folders: list[str]) -> None:
+    """Delete tables of materialise(); call it once whatever reads them is done."""
     sc = spark.sparkContext
-    while _written:
-        path = sc._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in folders:
+        if folder in _written:
+            _written.remove(folder)
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
