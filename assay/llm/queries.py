@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bpe, idfile, minhash, quality, tiling
+from assay.llm import bpe, chaining, idfile, minhash, quality, tiling
 from assay.session import shared_folder
 from assay.sources.tables import read_table
 
@@ -25,6 +25,13 @@ def query(name: str, check: str | None = None):
     return keep
 
 
+@query("op2_substring")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of documents that repeat, exactly or nearly, in a document of smaller id."""
+    found = chaining.repeated_passages(read_table(spark, folder, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "first_id": "first_doc_id"})
+
+
 @query("op3_minhash")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 3-word shingle sets are similar by 85 in 100 or more."""
