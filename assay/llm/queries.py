@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bpe, chaining, idfile, minhash, quality, tiling
+from assay.llm import bpe, chaining, idfile, langid, minhash, quality, tiling, topk, urls
 from assay.session import shared_folder
 from assay.sources.tables import read_table
 
@@ -38,6 +38,22 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, folder, "documents"), shingle=3, percent=85)
 
 
+OP4_CHECK = """
+with v as (select vec_id, list_transform(embedding, lambda e: cast(floor(64 * cast(e as double)) as bigint)) as v from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+      from v q join v c on q.vec_id != c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
+select query_id, cast(rank as integer) as rank, vec_id, score from
+    (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20"""
+
+
+@query("op4_topk", OP4_CHECK)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 greatest integer inner products of every twentieth vector."""
+    return topk.top_k(read_table(spark, folder, "embeddings"))
+
+
 @query("op5_token_ids")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document, written as id files and read back."""
@@ -51,6 +67,18 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_url_filter", urls.CHECK)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's address by rules, then host reputation."""
+    return urls.judge(read_table(spark, folder, "pages"), read_table(spark, folder, "labels"))
+
+
+@query("op7_language")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every page from its text, markup, address and host."""
+    return langid.identify(read_table(spark, folder, "pages"), read_table(spark, folder, "documents"))
+
+
 @query("op8_decontaminate")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items that documents hold, in whole or in reordered parts."""
