@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bpe, chaining, idfile, langid, minhash, quality, tiling, topk, urls
+from assay.llm import bpe, chaining, idfile, langid, minhash, quality, suffixes, tiling, topk, urls
 from assay.session import shared_folder
 from assay.sources.tables import read_table
 
@@ -25,6 +25,12 @@ def query(name: str, check: str | None = None):
     return keep
 
 
+@query("op1_suffix_array")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of documents in 50-byte strings that also start in a document of smaller id, removed."""
+    return suffixes.kept_digest(suffixes.remove_repeats(read_table(spark, folder, "documents")))
+
+
 @query("op2_substring")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of documents that repeat, exactly or nearly, in a document of smaller id."""
