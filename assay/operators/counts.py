@@ -15,8 +15,10 @@ from assay.functions import values as fv
 
 KEY = "dataset_id"
 
-# Texts above this length are counted under their SHA-256, so documents never travel whole.
+# Texts above this length are counted under digests, so documents never travel whole.
 LONG_TEXT = 64
+DIGEST = "sha256:"
+DIGEST_SIZE = len(DIGEST) + 64
 EXACT_LONG = 9_007_199_254_740_992
 
 
@@ -74,9 +76,20 @@ def value_pair(df: DataFrame, name: str) -> tuple[Column, Column]:
         return fv.epoch_micros(c, data_type), no_text
     text = c.cast("string")
     long_text = (F.length(text) > LONG_TEXT) & ~F.trim(text).rlike(fv.NUMBER_PATTERN)
-    return F.lit(None).cast("double"), F.when(
-        long_text, F.concat(F.lit("sha256:"), F.sha2(text, 256))
-    ).otherwise(text)
+    # Two digests: of the text as it is, which tells values apart, and of its normal form, which leakage compares.
+    both = F.concat(F.lit(DIGEST), F.sha2(text, 256), short_form(fv.lower_trim(text)))
+    return F.lit(None).cast("double"), F.when(long_text, both).otherwise(text)
+
+
+def short_form(text: Column) -> Column:
+    """A text, or the digest that stands for it above LONG_TEXT."""
+    return F.when(F.length(text) > LONG_TEXT, F.concat(F.lit(DIGEST), F.sha2(text, 256))).otherwise(text)
+
+
+def normal_text(counted: Column) -> Column:
+    """Trimmed, lower-cased form of a counted text, at any length."""
+    is_digest = counted.startswith(DIGEST) & (F.length(counted) >= DIGEST_SIZE)
+    return F.when(is_digest, F.substring(counted, DIGEST_SIZE + 1, 2**31 - 1)).otherwise(fv.lower_trim(counted))
 
 
 def value_counts(df: DataFrame, target: str | None = None, columns: list[str] | None = None) -> DataFrame:

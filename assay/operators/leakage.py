@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assay import thresholds as th
 from assay.functions import values as fv
-from assay.operators.counts import KEY
+from assay.operators.counts import KEY, normal_text
 from assay.operators.quality import column_cuts
 from assay.operators.schema import TEXT_KINDS
 
@@ -20,7 +20,7 @@ def _number_text(num: Column) -> Column:
 
 def _normal_form(num: Column, txt: Column, kind: Column) -> Column:
     """(text, number) a column is compared in; text kinds turn a null into the text 'nan'."""
-    text = F.coalesce(fv.lower_trim(F.coalesce(txt, _number_text(num))), F.lit("nan"))
+    text = F.coalesce(normal_text(F.coalesce(txt, _number_text(num))), F.lit("nan"))
     number = F.coalesce(num, fv.parse_number(txt))
     is_text = kind.isin(*TEXT_KINDS)
     return F.when(is_text, F.struct(text.alias("t"), F.lit(None).cast("double").alias("x"))).otherwise(

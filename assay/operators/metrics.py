@@ -78,8 +78,10 @@ def leaderboard(metrics: DataFrame, by: list[str], classification: bool, order:
     return metrics.withColumn("rank", F.row_number().over(ranked))
 
 
-def demographic_parity(scored: DataFrame, by: list[str], group: str, top: int = 5) -> DataFrame:
-    """Selection rate of the positive class in the largest groups, and smallest over largest rate.
+def demographic_parity(scored: DataFrame, by: list[str], group: str, top: int | None = None) -> DataFrame:
+    """Selection rate of the positive class in every group, and smallest over largest rate.
+
+    ``top`` limits the report to the largest groups.
 
     Two predicted classes with '1' or 'true' among them: that one is positive; else the rarest.
     """
@@ -94,7 +96,6 @@ def demographic_parity(scored: DataFrame, by: list[str], group: str, top: int =
         F.min(F.struct("n", "prediction")).getField("prediction").alias("rarest"),
     )
     positive = F.when((F.col("k") == 2) & F.col("yes").isNotNull(), F.col("yes")).otherwise(F.col("rarest"))
-    size = Window.partitionBy(*by).orderBy(F.col("n").desc(), "group_value")
     rates = (
         counts.where("group_value is not null")
         .join(classes.select(*by, positive.alias("positive")), by)
@@ -103,12 +104,14 @@ def demographic_parity(scored: DataFrame, by: list[str], group: str, top: int =
             F.sum("n").alias("n"),
             (F.coalesce(F.sum(F.when(F.col("prediction") == F.col("positive"), F.col("n"))), F.lit(0)) / F.sum("n")).alias("selection_rate"),
         )
-        .withColumn("size_rank", F.row_number().over(size))
-        .where(F.col("size_rank") <= top)
     )
-    whole = Window.partitionBy(*by)
-    highest = F.max("selection_rate").over(whole)
-    ratio = F.when(highest > 0, F.min("selection_rate").over(whole) / highest).otherwise(F.lit(1.0))
+    if top is not None:
+        size = Window.partitionBy(*by).orderBy(F.col("n").desc(), "group_value")
+        rates = rates.withColumn("size_rank", F.row_number().over(size)).where(F.col("size_rank") <= top)
+    # Extremes by a map-side aggregate: a key column has as many groups as rows.
+    ends = rates.groupBy(*by).agg(F.min("selection_rate").alias("lowest"), F.max("selection_rate").alias("highest"))
+    rates = rates.join(ends, by)
+    ratio = F.when(F.col("highest") > 0, F.col("lowest") / F.col("highest")).otherwise(F.lit(1.0))
     return rates.select(*by, "group_value", "positive", "n", "selection_rate", ratio.alias("parity_ratio"))
 
 

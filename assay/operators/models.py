@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Transformer
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assay import thresholds as th
 from assay.operators.counts import KEY
+from assay.settings import Limits
 
 
 @dataclass(frozen=True)
@@ -33,16 +35,19 @@ class Spec:
 
 # --- which candidates ---
 
-def candidates(sig: DataFrame) -> DataFrame:
+def candidates(sig: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(dataset_id, pos, model) from signals joined with flags; a preferred model comes first.
 
+    No model is left out for a table's size unless ``limits`` says so.
+
     Needs rows, cols, is_classification, simple_models_only, prefer_ensemble and preferred_model.
     """
     rows, simple = F.col("rows"), F.coalesce("simple_models_only", F.lit(False))
     ensemble = F.coalesce("prefer_ensemble", F.lit(False))
-    medium, cls = rows < th.LARGE_ROWS, F.col("is_classification")
+    under = lambda value, limit: F.lit(True) if limit is None else value < limit
+    medium, cls = under(rows, limits.boosting_max_rows), F.col("is_classification")
     boosted = ~simple & (ensemble | medium)
-    margin = (rows < th.SMALL_ROWS) & (F.col("cols") <= th.MARGIN_MODEL_MAX_COLS)
+    margin = under(rows, limits.margin_max_rows) & under(F.col("cols") - 1, limits.margin_max_cols)
     rules: list[tuple[str, Column]] = [
         ("DummyMostFrequent", cls), ("LogisticRegression", cls), ("RandomForest", cls), ("SVC_RBF", cls & margin),
         ("GradientBoosting", cls & boosted & medium), ("HistGradientBoosting", cls & boosted),
@@ -145,6 +150,25 @@ def fit(
     return est.fit(train)
 
 
+def fit_warnings(model: Transformer) -> list[str]:
+    """What a fitted model says about its own fit: coefficients or objective that are no numbers, unfinished iterations."""
+    out = []
+    for part in getattr(model, "stages", [model]):
+        try:
+            values = part.coefficientMatrix.toArray() if hasattr(part, "coefficientMatrix") else part.coefficients.toArray()
+            if not all(math.isfinite(x) for x in values.ravel().tolist()):
+                out.append("invalid value in coefficients")
+        except AttributeError:
+            continue
+        if getattr(part, "hasSummary", False):
+            history = list(part.summary.objectiveHistory or [])
+            if any(not math.isfinite(x) for x in history):
+                out.append("overflow in objective")
+            elif part.hasParam("maxIter") and len(history) > part.getOrDefault("maxIter"):
+                out.append("iteration limit reached before convergence")
+    return out
+
+
 # --- fixed values: tuning grids per candidate ---
 _FOREST = {
     "n_estimators": [100, 200, 300, 500], "max_depth": [None, 5, 10, 20],

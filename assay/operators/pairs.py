@@ -58,9 +58,9 @@ def with_p_value(pairs: DataFrame) -> DataFrame:
 
 
 def strongest_pairs(
-    pairs: DataFrame, kinds: DataFrame, min_abs_corr: float = 0.0, top: int = th.CORR_TOP
+    pairs: DataFrame, kinds: DataFrame, min_abs_corr: float = 0.0, top: int | None = th.CORR_TOP
 ) -> DataFrame:
-    """Numeric-kind pairs at or above the bound, strongest first, at most ``top`` per dataset."""
+    """Numeric-kind pairs at or above the bound, strongest first; ``top`` of them per dataset, or all."""
     numeric = kinds.where(F.col("kind").isin("ordinal", "continuous")).select(KEY, "column_name", "pos")
     side = lambda s: numeric.select(
         KEY, F.col("column_name").alias(f"col_{s}"), F.col("pos").alias(f"pos_{s}")
@@ -71,11 +71,10 @@ def strongest_pairs(
         .join(side("b"), [KEY, "col_b"])
     )
     shown = Window.partitionBy(KEY).orderBy(F.round("abs_corr", 4).desc(), "pos_a", "pos_b")
-    return (
-        kept.withColumn("rank", F.row_number().over(shown))
-        .where(F.col("rank") <= top)
-        .select(KEY, "rank", "col_a", "col_b", "corr", "abs_corr", "n_pairs")
-    )
+    ranked = kept.withColumn("rank", F.row_number().over(shown))
+    if top is not None:
+        ranked = ranked.where(F.col("rank") <= top)
+    return ranked.select(KEY, "rank", "col_a", "col_b", "corr", "abs_corr", "n_pairs")
 
 
 def correlation_matrix(pairs: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from assay.functions import values as fv
 from assay.operators.counts import KEY
 from assay.operators.quantiles import column_quantiles, weighted_quantiles
 from assay.operators.ranks import rank_rows
+from assay.settings import Limits
 
 
 def factorize(df: DataFrame, column: str) -> DataFrame:
@@ -207,16 +208,15 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def missing_limit(rows: Column) -> Column:
-    """Missing share above which a column is dropped, stricter for larger tables."""
-    return (
-        F.when(rows < th.SMALL_ROWS, F.lit(th.MISSING_LIMIT_SMALL))
-        .when(rows < th.LARGE_ROWS, F.lit(th.MISSING_LIMIT_MEDIUM))
-        .otherwise(F.lit(th.MISSING_LIMIT_LARGE))
-    )
+def missing_limit(rows: Column, limits: Limits = Limits()) -> Column:
+    """Missing share above which a column is dropped; one limit unless ``limits`` has several by row count."""
+    out = F.lit(limits.missing_limits[-1][1])
+    for below, percent in reversed(limits.missing_limits[:-1]):
+        out = F.when(rows < below, F.lit(percent)).otherwise(out)
+    return out
 
 
-def encoding_route(groups: DataFrame) -> DataFrame:
+def encoding_route(groups: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Route per feature: scaled number, one-hot, target encoding or left out.
 
     ``groups`` carries feature_group, n_unique, n_rows and missing_pct per column.
@@ -226,7 +226,7 @@ def encoding_route(groups: DataFrame) -> DataFrame:
     few = (u < th.ONE_HOT_MAX_UNIQUE) & (u / F.greatest(n, F.lit(1)) < th.ONE_HOT_MAX_SHARE)
     like_category = (u > th.ONE_HOT_MAX_UNIQUE) & (u < n * th.TEXT_MAX_SHARE)
     route = (
-        F.when(F.col("missing_pct") > missing_limit(n), "too_many_missing")
+        F.when(F.col("missing_pct") > missing_limit(n, limits), "too_many_missing")
         .when(group.isin("ordinal", "continuous"), "numeric")
         .when((group == "binary") | ((group == "multiclass") & few), "one_hot")
         .when((group == "multiclass") | ((group == "text") & like_category), "target_encoding")

@@ -9,6 +9,7 @@ from assay.functions import values as fv
 from assay.operators import leakage, pairs, quality, schema
 from assay.operators.counts import KEY, TableInfo, value_counts
 from assay.session import materialise
+from assay.settings import Limits
 
 EMPTY = "array<string>"
 
@@ -43,7 +44,8 @@ def _listed(rows: DataFrame, name: str) -> DataFrame:
 
 
 def signals(
-    df: DataFrame, target: str, classification: bool = True, joint: DataFrame | None = None, stats: DataFrame | None = None
+    df: DataFrame, target: str, classification: bool = True, joint: DataFrame | None = None, stats: DataFrame | None = None,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Signals of every dataset in a keyed table.
 
@@ -60,7 +62,7 @@ def signals(
         F.col("is_outlier_column") & (F.col("column_name") != target)
     )
     hard = leakage.hard_leakage(joint, stats, target, all_columns=False).where(F.col("reason").isNotNull())
-    corr = pairs.strongest_pairs(pairs.correlation_pairs(df), stats, th.HIGH_CORR)
+    corr = pairs.strongest_pairs(pairs.correlation_pairs(df), stats, th.HIGH_CORR, limits.corr_drop_pairs)
     clear = (F.col("col_a") != target) & (F.col("col_b") != target)
     corr = corr.groupBy(KEY).agg(
         F.max("abs_corr").alias("max_abs_corr"),

@@ -76,15 +76,15 @@ def time_folds(df: DataFrame, time_column: str, k: int) -> DataFrame:
     return df.join(F.broadcast(points)).select(*df.columns, block.alias("time_block"))
 
 
-def fold_count(rows: Column, smallest_class: Column | None = None) -> Column:
-    """Folds to use: five below 1,000 rows else three, never more than the smallest class; null if under two."""
-    wanted = F.when(rows < th.SMALL_ROWS, F.lit(th.FOLDS_SMALL)).otherwise(F.lit(th.FOLDS_DEFAULT))
+def fold_count(rows: Column, smallest_class: Column | None = None, small_rows: int = th.SMALL_ROWS) -> Column:
+    """Folds to use: three, or five below ``small_rows`` rows (1,000 if not given); never more than the smallest class; null if under two."""
+    wanted = F.when(rows < small_rows, F.lit(th.FOLDS_SMALL)).otherwise(F.lit(th.FOLDS_DEFAULT))
     k = F.least(wanted, rows if smallest_class is None else smallest_class)
     return F.when((rows >= 4) & (k >= 2), k)
 
 
-def tuning_sample(df: DataFrame, row_key: str, label: str, rows: int = th.TUNE_ROWS, seed: int = 42) -> DataFrame:
-    """About ``rows`` rows in class proportion; the whole table if it is smaller."""
+def tuning_sample(df: DataFrame, row_key: str, label: str, rows: int, seed: int = 42) -> DataFrame:
+    """``rows`` rows in class proportion, each class rounded up; the whole table if it is smaller."""
     sizes = _class_sizes(df, label)
     ranked = shuffled_rank(df, [label], _digest(row_key, seed), "_rank").join(
         sizes, F.col(label).eqNullSafe(F.col("_class"))

@@ -13,9 +13,10 @@ from assay.operators import importance, metrics, oversample, prepare, splits
 from assay.operators.fitting import FeaturePlan, Preparation, fit_preparation
 from assay.operators.models import Budget, Spec, fit, sampled_params
 from assay.session import materialise
+from assay.settings import Limits
 
-MAX_CLASSES = 100
 ROWS_PER_TASK = 20_000
+BROADCAST_CLASSES = 100_000
 ROW = "_row"
 
 
@@ -32,6 +33,7 @@ class Task:
     logit_c: float = th.LOGIT_C
     budget: Budget = Budget()
     seed: int = 42
+    limits: Limits = Limits()
 
     def y(self) -> Column:
         """Label as a number: the class index, or the value."""
@@ -71,11 +73,9 @@ def with_row_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256))
 
 
-def class_labels(df: DataFrame, target: str, limit: int = MAX_CLASSES) -> list[str]:
-    """Sorted class labels; a target with more than ``limit`` is refused, not truncated."""
-    rows = df.where(F.col(target).isNotNull()).select(F.col(target).cast("string").alias("c")).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"target {target} has more than {limit} classes")
+def class_labels(df: DataFrame, target: str) -> list[str]:
+    """Sorted class labels: as many as the models have outputs."""
+    rows = df.where(F.col(target).isNotNull()).select(F.col(target).cast("string").alias("c")).distinct().collect()
     return sorted(r["c"] for r in rows)
 
 
@@ -89,7 +89,8 @@ def _prepared(task: Task, train: DataFrame) -> tuple[Preparation, DataFrame, dic
         ready = materialise(oversample.smote(ready, ROW, "y", "features", task.seed).drop("synthetic"))
     if task.classification and task.class_weights:
         weights = prepare.class_weights(ready, "y").select(F.col("class_label").alias("_c"), F.col("class_weight").alias("w"))
-        ready = ready.join(F.broadcast(weights), F.col("y") == F.col("_c")).drop("_c")  # one row per class
+        # One row per class, whose labels the driver holds already.
+        ready = ready.join(F.broadcast(weights) if len(task.classes) <= BROADCAST_CLASSES else weights, F.col("y") == F.col("_c")).drop("_c")
     else:
         ready = ready.withColumn("w", F.lit(1.0))
     top = F.lit(None).cast("double")
@@ -155,7 +156,7 @@ def _fold_count(task: Task, train: DataFrame) -> int:
     smallest = None
     if task.classification:
         smallest = train.groupBy(task.target).count().agg(F.min("count")).first()[0]
-    wanted = th.FOLDS_SMALL if rows < th.SMALL_ROWS else th.FOLDS_DEFAULT
+    wanted = th.FOLDS_SMALL if rows < task.limits.small_rows else th.FOLDS_DEFAULT
     k = min(wanted, rows if smallest is None else smallest)
     return k if rows >= 4 and k >= 2 else 0
 
@@ -199,17 +200,19 @@ def cross_validate(trained: Trained, top_k: int, time_column: str | None = None)
 
 
 def random_search(trained: Trained, reduced: bool = False, samples: int | None = None, time_column: str | None = None) -> DataFrame:
-    """(trial, params, score) of sampled grid points for the winner, scored by folds on train rows."""
+    """(trial, params, score) of sampled grid points for the winner, scored by folds on train rows.
+
+    All train rows are used unless the limits name a sample size for reduced tuning.
+    """
     task, name = trained.task, trained.ranking[0]
     spark = trained.train.sparkSession
     n = samples or (th.TUNE_SAMPLES_REDUCED if reduced else th.TUNE_SAMPLES)
     trials = [Spec(name, p) for p in sampled_params(spark, name, n, task.seed)]
     train = trained.train
-    if reduced:
-        by = task.target if task.classification else F.lit(0)
-        train = train if not task.classification else materialise(splits.tuning_sample(train, ROW, by, seed=task.seed))
-        if not task.classification:
-            train = materialise(splits.tuning_sample(train.withColumn("_one", F.lit(0)), ROW, "_one", seed=task.seed).drop("_one"))
+    if reduced and task.limits.tune_rows is not None:
+        by = task.target if task.classification else "_one"
+        train = splits.tuning_sample(train.withColumn("_one", F.lit(0)), ROW, by, task.limits.tune_rows, task.seed).drop("_one")
+        train = materialise(train)
     folds = fold_predictions(task, train, trials, th.TUNE_FOLDS, time_column)
     score = "balanced_accuracy" if task.classification else "r2"
     per_fold = _score(task, folds, ["model", "fold"])

@@ -15,6 +15,7 @@ from assay.queries.findings import _reflected, study_board, study_evidence
 from assay.queries.study import NUMERIC, PLAN_CTES, SIGNAL_CTES, TARGET, study, study_plan, study_signals
 from assay.run import auto_model as run_auto_model
 from assay.session import materialise
+from assay.settings import PUBLISHED
 
 SMALL_BUDGET = Budget(trees=10, depth=5, rounds=10, iterations=50)
 
@@ -32,7 +33,7 @@ CANDIDATE_CTES = PLAN_CTES + """,
 def study_candidates(spark, folder) -> DataFrame:
     planned = study_plan(spark, folder)
     flags = rules.flags(planned).select(KEY, "simple_models_only", "prefer_ensemble")
-    return models.candidates(planned.join(flags, KEY).withColumn("preferred_model", F.col("hint_model")))
+    return models.candidates(planned.join(flags, KEY).withColumn("preferred_model", F.col("hint_model")), PUBLISHED)
 
 
 @query("model_candidates", f"with {CANDIDATE_CTES} select dataset_id, pos, model from cand")

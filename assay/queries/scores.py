@@ -10,6 +10,7 @@ from assay.operators.ranks import shuffled_rank
 from assay.functions import values as fv
 from assay.queries.base import duck, query, table
 from assay.queries.findings import scores_sql
+from assay.settings import PUBLISHED
 
 SEED = 42
 
@@ -59,7 +60,7 @@ def time_folds(spark, folder):
 def fold_count(spark, folder):
     per = table(spark, folder, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("k"))
     whole = per.groupBy(F.col("o_orderpriority").alias("g")).agg(F.sum("k").alias("n_row"), F.min("k").alias("smallest"))
-    return whole.select("g", "n_row", splits.fold_count(F.col("n_row"), F.col("smallest")).alias("folds"))
+    return whole.select("g", "n_row", splits.fold_count(F.col("n_row"), F.col("smallest"), PUBLISHED.small_rows).alias("folds"))
 
 
 @query("tuning_sample", """
@@ -67,7 +68,7 @@ def fold_count(spark, folder):
                  count(*) over (partition by o_orderstatus) as n, count(*) over () as total from orders)
     select o_orderkey, o_orderstatus from r where total <= 10000 or i < ceil(10000 * n / total)""")
 def tuning_sample(spark, folder):
-    return splits.tuning_sample(table(spark, folder, "orders"), "o_orderkey", "o_orderstatus", seed=SEED).select("o_orderkey", "o_orderstatus")
+    return splits.tuning_sample(table(spark, folder, "orders"), "o_orderkey", "o_orderstatus", PUBLISHED.tune_rows, seed=SEED).select("o_orderkey", "o_orderstatus")
 
 
 # --- preparation ---

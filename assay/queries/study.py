@@ -20,6 +20,7 @@ from assay.plans import rules
 from assay.queries.base import query
 from assay.session import materialise
 from assay.sources.tables import read_table
+from assay.settings import PUBLISHED
 
 TARGET = "target"
 # name, family
@@ -61,15 +62,9 @@ def study(spark, folder: str) -> DataFrame:
     return spark.sql(STUDY.replace("<each>", EACH_SPARK), lineitem=read_table(spark, folder, "lineitem"))
 
 
-_SIGNAL_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def study_signals(spark, folder: str) -> DataFrame:
-    """The signals table of the study, written once per session; the rule queries read it."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _SIGNAL_TABLES:
-        _SIGNAL_TABLES[key] = materialise(signals(study(spark, folder), TARGET))
-    return _SIGNAL_TABLES[key]
+    """The signals table of the study, computed anew for each query that reads it."""
+    return materialise(signals(study(spark, folder), TARGET, limits=PUBLISHED))
 
 
 def _long_sql() -> str:
@@ -178,7 +173,7 @@ LISTS = ["near_cols", "sensitive_cols", "ordinal_cols", "outlier_cols", "hard_co
       has_datetime, high_card, round(scale_ratio, 4) as scale_ratio, scale_mismatch, duplicate_count,
       round(max_abs_corr, 4) as max_abs_corr, n_classes, round(imbalance_ratio, 4) as imbalance_ratio, high_dim from sig""")
 def signals_query(spark, folder):
-    s = signals(study(spark, folder), TARGET)
+    s = signals(study(spark, folder), TARGET, limits=PUBLISHED)
     return s.select(
         KEY, F.col("rows").alias("n_row"), F.col("cols").alias("n_col"), F.round("max_missing", 4).alias("max_missing"),
         F.concat_ws(",", "near_constant_cols").alias("near_cols"),
@@ -300,7 +295,7 @@ PLAN_CTES = SIGNAL_CTES + f""",
 
 def study_plan(spark, folder) -> DataFrame:
     s = study_signals(spark, folder)
-    return rules.recommend(s, study_hints(s))
+    return rules.recommend(s, study_hints(s), PUBLISHED)
 
 
 @query("plan_rules", f"with {PLAN_CTES} select dataset_id, pos, step from plan")
@@ -387,15 +382,15 @@ def study_keep(spark, folder) -> DataFrame:
     groups = schema.feature_groups(stats, TARGET).join(
         stats.select(KEY, "pos", "n_rows", "missing_pct"), [KEY, "pos"]
     )
-    sig = signals(df, TARGET, joint=joint, stats=stats)
-    return prepare.keep_list(prepare.encoding_route(groups), rules.dropped_columns(sig))
+    sig = signals(df, TARGET, joint=joint, stats=stats, limits=PUBLISHED)
+    return prepare.keep_list(prepare.encoding_route(groups, PUBLISHED), rules.dropped_columns(sig))
 
 
 @query("encoding_route", f"""with {ROUTE_CTES} select dataset_id, column_name, route from route""")
 def encoding_route(spark, folder):
     stats = schema.profile_columns(study(spark, folder))
     groups = schema.feature_groups(stats, TARGET).join(stats.select(KEY, "pos", "n_rows", "missing_pct"), [KEY, "pos"])
-    return prepare.encoding_route(groups).select(KEY, "column_name", "route")
+    return prepare.encoding_route(groups, PUBLISHED).select(KEY, "column_name", "route")
 
 
 @query("feature_keep_list", f"""with {ROUTE_CTES},

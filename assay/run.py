@@ -6,7 +6,7 @@ targets, at most ``max_replans`` + 1 passes each.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,7 +18,9 @@ from assay.operators.fitting import feature_plan
 from assay.operators.models import Budget, Spec
 from assay.operators.signals import profile_notes, signals
 from assay.plans import replan as rp, rules
+from assay.sources.artefacts import append_history, read_history
 from assay.session import materialise
+from assay.settings import Limits
 
 NAME = "table"
 NO_SUMMARY = (
@@ -37,6 +39,7 @@ class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     record: DataFrame | None = None
     failed_targets: list[str] = field(default_factory=list)
+    target_failed: bool = False
     trained: training.Trained | None = None
 
 
@@ -44,11 +47,16 @@ def auto_model(
     df: DataFrame, target: str = "auto", dataset: str = "table", seed: int = 42, test_share: float = 0.2,
     max_replans: int = 1, budget: Budget = Budget(), store: DataFrame | None = None,
     failed: list[str] | None = None, as_of: str = "2000-01-01 00:00:00", tune_samples: int | None = None,
+    limits: Limits = Limits(), history_folder: str | None = None,
 ) -> RunResult:
     """Profile, plan, train, tune, validate, diagnose and judge one table.
 
-    ``store`` is the run history (latest records), ``failed`` the targets given up before.
+    ``store`` is the run history (latest records), ``failed`` the targets given up before. No step is skipped
+    and no row or column left out because of the table's size unless ``limits`` says so. With a
+    ``history_folder`` the run's record is appended there, and the log there is the store if none is given.
     """
+    if history_folder is not None and store is None:
+        store = history.latest(read_history(df.sparkSession, history_folder)[0])
     before = df.count()
     df = materialise(quality.drop_duplicates(df))
     keyed = with_dataset(df, name=NAME)
@@ -71,12 +79,14 @@ def auto_model(
     result = None
     for name in wanted:
         result = _one_target(
-            df, keyed, name, dataset, origin, rows, before, seed, test_share, max_replans, budget, store, as_of, tune_samples)
+            df, keyed, name, dataset, origin, rows, before, seed, test_share, max_replans, budget, store, as_of, tune_samples, limits)
+        if history_folder is not None and result.record is not None:
+            append_history(result.record, history_folder)
         if origin != "inferred" or not _given_up(result):
             break
         lost.append(name)
     assert result is not None
-    if result.tables.get("judged") is not None and result.verdict == th.INVALID and result.target not in lost:
+    if result.target_failed and result.target not in lost:
         lost.append(result.target)
     result.failed_targets = lost
     return result
@@ -112,22 +122,23 @@ def _hints(sig: DataFrame, store: DataFrame | None, dataset: str, target: str, f
 
 
 def _one_target(
-    df, keyed, target, dataset, origin, rows, before, seed, test_share, max_replans, budget, store, as_of, tune_samples
+    df, keyed, target, dataset, origin, rows, before, seed, test_share, max_replans, budget, store, as_of, tune_samples, limits
 ) -> RunResult:
     info = TableInfo.of(keyed)
     joint = materialise(value_counts(keyed, target=target))
     stats = materialise(schema.column_stats(joint, info))
     kind = schema.task_type(stats.where(F.col("column_name") == target)).first()
     cls = bool(kind["is_classification"])
-    sig = signals(keyed, target, cls, joint=joint, stats=stats).withColumns({
+    sig = signals(keyed, target, cls, joint=joint, stats=stats, limits=limits).withColumns({
         "duplicate_count": F.lit(before - rows), "duplicate_pct": F.lit((before - rows) / max(before, 1) * 100)})
     sig = materialise(sig)
     fingerprint = tg.fingerprints(stats, target, dataset)
     hints = _hints(sig, store, dataset, target, fingerprint, as_of)
-    planned = rules.recommend(sig, hints)
+    planned = rules.recommend(sig, hints, limits)
+    past = _past_score(store, dataset, target)
     steps = planned.select(F.transform("plan", lambda p: p["step"]).alias("s")).first()["s"]  # a few dozen names
     groups = schema.feature_groups(stats, target).join(stats.select(KEY, "pos", "n_rows", "missing_pct"), [KEY, "pos"])
-    routes = prepare.encoding_route(groups)
+    routes = prepare.encoding_route(groups, limits)
     facts = sig.first()
     keyed_rows = training.with_row_key(df)
     passes = 0
@@ -141,38 +152,43 @@ def _one_target(
         gone = gone.where((F.col("drop_reason") == "near_constant") | applies)
         kept = materialise(prepare.keep_list(routes, gone))
         if prepare.cascade(kept).first()["feature_cascade"]:
-            return RunResult(target, th.INVALID, "Dummy", passes, {"notes": profile_notes(sig)})
+            judged = sig.select(
+                "*", F.lit(th.INVALID).alias("verdict"), F.lit("needs_attention").alias("status"), F.lit("Dummy").alias("best_model"),
+                F.lit(None).cast("double").alias("score"))
+            record = _record(judged, fingerprint, dataset, target, origin, steps, as_of)
+            return RunResult(target, th.INVALID, "Dummy", passes, {"notes": profile_notes(sig)}, record, target_failed=True)
         preferred = next((s.split(":", 1)[1] for s in steps if s.startswith("prioritize_model:")), None)
         offered = models.candidates(sig.withColumns({
             "simple_models_only": F.lit(on["simple_models_only"]), "prefer_ensemble": F.lit(on["prefer_ensemble"]),
-            "preferred_model": F.lit(preferred).cast("string")})).orderBy("pos").collect()  # at most six rows
+            "preferred_model": F.lit(preferred).cast("string")}), limits).orderBy("pos").collect()  # at most six rows
         weigh = on["use_class_weights"] or (cls and (facts["imbalance_ratio"] or 1.0) >= th.IMBALANCED)
         task = training.Task(
-            target, cls, feature_plan(kept, on, rows), training.class_labels(df, target) if cls else [], weigh and cls,
-            on["apply_oversampling"] and cls, th.LOGIT_C_STRONG if on["use_regularization"] else th.LOGIT_C, budget, seed)
+            target, cls, replace(feature_plan(kept, on, rows), unit_variance_min_rows=limits.unit_variance_min_rows), training.class_labels(df, target) if cls else [], weigh and cls,
+            on["apply_oversampling"] and cls, th.LOGIT_C_STRONG if on["use_regularization"] else th.LOGIT_C, budget, seed, limits)
         train, test = training.split(keyed_rows, task, test_share)
         trained = training.train_models(train, test, task, [Spec(r["model"]) for r in offered])
         time_column = _time_column(stats, target) if on["time_aware_validation"] else None
         notes = []
-        none = sig.select(KEY, F.array().cast("array<string>").alias("warnings"))
         if "tune_hyperparameters" in steps:
-            skip = diagnose.tuning_skip(trained.board, none, cls).first()["skip_reason"]
+            skip = diagnose.tuning_skip(trained.board, _warnings(sig, trained), cls).first()["skip_reason"]
             if skip is None:
                 trained = training.tune(trained, on["reduce_tuning_budget"], tune_samples, time_column)
             else:
                 notes.append(f"tuning skipped: {skip}")
         summary = None
         if "validate_with_cross_validation" in steps:
-            top = th.CV_TOP_SMALL if rows < th.SMALL_ROWS else th.CV_TOP
+            top = th.CV_TOP_SMALL if rows < limits.small_rows else th.CV_TOP
             summary = training.cross_validate(trained, top, time_column)
         fold_table = summary if summary is not None else df.sparkSession.createDataFrame([], NO_SUMMARY)
         best = trained.ranking[0]
-        ev = _evidence(trained, best, sig, fold_table, on, steps, cls)
+        warned = _warnings(sig, trained)
+        ev = _evidence(trained, best, sig, fold_table, on, steps, cls, past, warned)
         tied = diagnose.tie_break(ev).first()["final_model"]
         if tied != best and tied in trained.models:
             best = tied
             notes.append(f"simpler tied model chosen: {tied}")
-            ev = _evidence(trained, best, sig, fold_table, on, steps, cls)
+            # The simpler model takes the winner's place in the folds too.
+            ev = _evidence(trained, best, sig, fold_table, on, steps, cls, past, warned).withColumn("cv_best", F.lit(best))
         judged = materialise(diagnose.verdicts(diagnose.reflection(ev, cls)))
         found = materialise(diagnose.findings(ev, cls))
         outcome = judged.first()
@@ -183,11 +199,12 @@ def _one_target(
             "notes": profile_notes(sig), "cross_validation": fold_table,
             "report": report.run_report(sig, plan_rows, trained.board, summary, judged, found, cls),
         })
-        record = judged.join(fingerprint, KEY).select(
-            F.lit(dataset).alias("dataset"), "fingerprint", F.lit(target).alias("target"), "rows", "cols", "verdict",
-            "best_model", "score", "status", F.lit(origin).alias("target_origin"), "is_classification", "imbalance_ratio",
-            "max_missing", F.array(*[F.lit(s) for s in steps]).alias("steps"), F.lit(as_of).cast("timestamp").alias("seen_at"))
-        result = RunResult(target, outcome["verdict"], best, passes, tables, record, [], trained)
+        record = _record(judged, fingerprint, dataset, target, origin, steps, as_of)
+        kept_record = history.records(judged.withColumns({
+            "target": F.lit(target), "steps": F.array(*[F.lit(s) for s in steps])}))
+        tables["outcome_record"] = kept_record
+        result = RunResult(
+            target, outcome["verdict"], best, passes, tables, record, [], bool(kept_record.first()["target_failed"]), trained)
         if not outcome["replan_recommended"] or passes > max_replans:
             return result
         issues = diagnose.issue_texts(found)
@@ -197,7 +214,32 @@ def _one_target(
             test_share = max(test_share, min(test_share + th.TEST_SHARE_STEP, th.TEST_SHARE_MAX))
 
 
-def _evidence(trained, best: str, sig: DataFrame, fold_table: DataFrame, on: dict, steps: list[str], cls: bool) -> DataFrame:
+def _record(judged: DataFrame, fingerprint: DataFrame, dataset: str, target: str, origin: str, steps: list[str], as_of: str) -> DataFrame:
+    """What the history keeps of a run."""
+    return judged.join(fingerprint.select(KEY, "fingerprint"), KEY).select(
+        F.lit(dataset).alias("dataset"), "fingerprint", F.lit(target).alias("target"), "rows", "cols", "verdict",
+        "best_model", "score", "status", F.lit(origin).alias("target_origin"), "is_classification", "imbalance_ratio",
+        "max_missing", F.array(*[F.lit(s) for s in steps]).alias("steps"), F.lit(as_of).cast("timestamp").alias("seen_at"))
+
+
+def _past_score(store: DataFrame | None, dataset: str, target: str) -> DataFrame | None:
+    """Score of the latest earlier run of the same table and target, as history evidence."""
+    if store is None:
+        return None
+    same = store.where((F.col("dataset") == dataset) & (F.col("target") == target) & F.col("score").isNotNull())
+    return same.groupBy(F.lit(NAME).alias(KEY)).agg(F.max_by("score", F.struct("seen_at", "fingerprint")).alias("prev_score"))
+
+
+def _warnings(sig: DataFrame, trained) -> DataFrame:
+    """What the fits reported about themselves: (dataset_id, warnings)."""
+    told = [f"{name}: {w}" for name, model in trained.models.items() for w in models.fit_warnings(model)]
+    return sig.select(KEY, F.array(*[F.lit(w) for w in told]).cast("array<string>").alias("warnings"))
+
+
+def _evidence(
+    trained, best: str, sig: DataFrame, fold_table: DataFrame, on: dict, steps: list[str], cls: bool, past: DataFrame | None,
+    warned: DataFrame,
+) -> DataFrame:
     """Evidence row with the chosen model in the winner's place."""
     board = trained.board.drop("rank").withColumn(
         "rank", F.when(F.col("model") == best, 1).otherwise(2))
@@ -207,7 +249,7 @@ def _evidence(trained, best: str, sig: DataFrame, fold_table: DataFrame, on: dic
         from assay.operators import metrics
         chosen = trained.predictions.where(F.col("model") == best)
         reports = metrics.class_report(metrics.confusion_counts(chosen, ["model"]), ["model"]).withColumn(KEY, F.lit(NAME))
-    return diagnose.evidence(sig, board, fold_table, flags, None, reports, None, cls)
+    return diagnose.evidence(sig, board, fold_table, flags, warned, reports, past, cls)
 
 
 def _time_column(stats: DataFrame, target: str) -> str | None:

@@ -130,6 +130,11 @@ def test_whole_run_writes_its_tables(spark, tmp_path):
     assert empty.count() == 0
 
 
-def test_too_many_classes_are_refused(spark):
-    with pytest.raises(ValueError):
-        training.class_labels(spark.range(200).selectExpr("id as y"), "y")
+def test_many_classes_are_all_learnt(spark):
+    df = spark.range(1500).selectExpr("cast(id % 150 as string) as y", "cast(id % 150 as double) as x", "id as n")
+    labels = training.class_labels(df, "y")
+    assert len(labels) == 150
+    task = training.Task("y", True, FeaturePlan(continuous=("x",)), labels, True, budget=TINY)
+    train, test = training.split(training.with_row_key(df), task, 0.2)
+    board = training.train_models(train, test, task, [Spec("DummyMostFrequent"), Spec("RandomForest")]).board
+    assert board.count() == 2

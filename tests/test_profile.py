@@ -147,3 +147,20 @@ def test_signals_of_many_datasets_equal_single_runs(spark):
         one = signals(df.where(F.col("dataset_id") == k), "y").first()
         for c in ("rows", "outlier_cols", "hard_cols", "soft_cols", "imbalance_ratio", "scale_ratio", "near_constant_cols"):
             assert many[k][c] == one[c], c
+
+
+@pytest.mark.parametrize("width", [21, 81])
+def test_leak_by_case_and_blanks_is_found_at_any_length(spark, width):
+    rows = [(f"{'k' * width}{i % 3}", f" {'K' * width}{i % 3}" if i % 2 else f"{'k' * width}{i % 3} ") for i in range(60)]
+    df = with_dataset(spark.createDataFrame(rows, "target string, copied string"))
+    joint = value_counts(df, target="target")
+    stats = schema.column_stats(joint, TableInfo.of(df))
+    got = leakage.hard_leakage(joint, stats, "target").collect()
+    assert [(r["column_name"], r["reason"]) for r in got] == [("copied", "exact_target_copy")]
+
+
+def test_drop_list_sees_all_correlated_pairs(spark):
+    base = spark.range(200).selectExpr("id as n", "rand(3) as r")
+    df = base.selectExpr("r as x00", *[f"r * {i + 2} + rand({i}) * 0.001 as x{i + 1:02d}" for i in range(24)], "n % 2 as target")
+    row = signals(with_dataset(df), "target").first()
+    assert len(row["corr_cols"]) == 24

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from assay.operators import diagnose, history, metrics, models
 from assay.plans import replan as rp, rules
+from assay.settings import PUBLISHED
 
 SIG = (
     "dataset_id string, rows bigint, cols bigint, max_missing double, near_constant_cols array<string>, sensitive_cols array<string>,"
@@ -23,7 +24,7 @@ def sig(spark, **kw):
 
 def plan(spark, hint=None, **kw):
     hints = None if hint is None else spark.createDataFrame([("d", *hint)], "dataset_id string, hint_model string, hint_steps array<string>")
-    return [r["step"] for r in rules.plan_rows(rules.recommend(sig(spark, **kw), hints)).orderBy("pos").collect()]
+    return [r["step"] for r in rules.plan_rows(rules.recommend(sig(spark, **kw), hints, PUBLISHED)).orderBy("pos").collect()]
 
 
 def test_medium_plan_has_core_steps_and_tuning(spark):
@@ -81,7 +82,7 @@ def test_candidates_by_size_and_flags(spark):
     def names(**kw):
         flags = {k: kw.pop(k, None) for k in ("simple_models_only", "prefer_ensemble", "preferred_model")}
         df = sig(spark, **kw).withColumns({k: F.lit(v).cast("string" if k == "preferred_model" else "boolean") for k, v in flags.items()})
-        return [r["model"] for r in models.candidates(df).orderBy("pos").collect()]
+        return [r["model"] for r in models.candidates(df, PUBLISHED).orderBy("pos").collect()]
     assert names(rows=500, simple_models_only=True) == ["DummyMostFrequent", "LogisticRegression", "RandomForest", "SVC_RBF"]
     assert names() == ["DummyMostFrequent", "LogisticRegression", "RandomForest", "GradientBoosting", "HistGradientBoosting"]
     assert names(rows=20000) == ["DummyMostFrequent", "LogisticRegression", "RandomForest"]
@@ -130,3 +131,21 @@ def test_param_grid_sizes(spark):
                      "HistGradientBoosting": 81, "HistGradientBoostingRegressor": 81, "LogisticRegression": 5, "Ridge": 5}
     assert models.parse_params("max_depth=None;subsample=0.8;max_iter=100;penalty=l2;") == {
         "max_depth": None, "subsample": 0.8, "max_iter": 100, "penalty": "l2"}
+
+
+def test_no_step_or_model_is_lost_to_size_by_default(spark):
+    big = sig(spark, rows=50_000_000)
+    steps = [r["step"] for r in rules.plan_rows(rules.recommend(big)).collect()]
+    assert {"validate_with_cross_validation", "tune_hyperparameters"} <= set(steps) and "reduce_tuning_budget" not in steps
+    flags = big.withColumns({"simple_models_only": F.lit(False), "prefer_ensemble": F.lit(False), "preferred_model": F.lit(None).cast("string")})
+    assert len(models.candidates(flags).collect()) == 6
+    published = [r["step"] for r in rules.plan_rows(rules.recommend(big, None, PUBLISHED)).collect()]
+    assert "validate_with_cross_validation" not in published and "reduce_tuning_budget" in published
+
+
+def test_parity_covers_every_group(spark):
+    rows = [(f"g{i}", int(j < i)) for i in range(7) for j in range(10)]
+    df = spark.createDataFrame(rows, "g string, prediction int").withColumn("a", F.lit("g"))
+    got = metrics.demographic_parity(df, ["a"], "g").collect()
+    assert len(got) == 7 and {r["parity_ratio"] for r in got} == {0.0}
+    assert len(metrics.demographic_parity(df, ["a"], "g", top=5).collect()) == 5
