@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from assay.session import materialise
 
+EDGES_PER_TASK = 250_000  # a step writes one file per so many edges, whatever the number of shuffle partitions
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the long pairs (u, v); component is the smallest node reached.
@@ -24,19 +26,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == seen or mark[0] == 0:
             break
         seen = mark
-        now = _small_star(_large_star(now))
+        parts = 1 + mark[0] // EDGES_PER_TASK
+        now = _small_star(_large_star(now, parts), parts)
     members = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.union(now.select("v", "v")).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
-    least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(parts))
     joined = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return materialise(joined.filter("u != v").distinct())
+    return materialise(joined.filter("u != v").distinct().coalesce(parts))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")))
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
+    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts))
     joined = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-    return materialise(joined.union(least).distinct())
+    return materialise(joined.union(least).distinct().coalesce(parts))

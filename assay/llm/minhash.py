@@ -16,6 +16,7 @@ from assay.session import materialise
 
 ROWS = 5  # minima per band
 CELL = 128  # documents per side of a comparison cell
+SLICE = 1 << 15  # shingles of a cell that are compared at a time
 _U = np.uint64
 
 
@@ -100,32 +101,90 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shing
     return materialise(both.select("u", "v", "text_u", "text_v").mapInPandas(work, "u long, v long"))
 
 
-def _across(cells: DataFrame, least: int) -> DataFrame:
-    """Pairs of different components in a cell whose minima agree in ``least`` places or more."""
+CELL_KEY = ["key", "r", "c"]
+
+
+def _dealt(cells: DataFrame) -> DataFrame:
+    return cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
+
+
+def _sides(rows: pd.DataFrame, cut: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, rows of the left side, rows of the right side) of each cell with both."""
+    side = rows["side"].to_numpy()
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        left, right = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
+        if len(left) and len(right):
+            yield lo, left, right
+
+
+def _likely(cells: DataFrame, least: int) -> DataFrame:
+    """(key, r, c, u, v): pairs of different components whose minima agree in ``least`` places or more.
+
+    A cell with more such pairs than rows gives one row without a pair: it is compared as a whole.
+    """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows, cut in complete_groups(batches, ["key", "r", "c"]):
-            u: list[np.ndarray] = []
-            v: list[np.ndarray] = []
-            rep, comp, side = rows["rep"].to_numpy(), rows["comp"].to_numpy(), rows["side"].to_numpy()
-            minima = rows["minima"].to_numpy()
-            for lo, hi in zip(cut[:-1], cut[1:]):
-                left, right = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
-                if not len(left) or not len(right):
-                    continue
+        for rows, cut in complete_groups(batches, CELL_KEY):
+            rep, comp, minima = rows["rep"].to_numpy(), rows["comp"].to_numpy(), rows["minima"].to_numpy()
+            spot = rows[CELL_KEY].to_numpy()
+            out: list[tuple] = []
+            for lo, left, right in _sides(rows, cut):
                 have = np.stack([np.frombuffer(minima[i], np.uint32) for i in left])
+                pairs: set[tuple[int, int]] = set()
                 for j in right:
                     other = comp[left] != comp[j]
                     if other.any():
                         agree = (have[other] == np.frombuffer(minima[j], np.uint32)).sum(1)
-                        found = left[other][agree >= least]
-                        u.append(np.maximum(rep[found], rep[j]))
-                        v.append(np.minimum(rep[found], rep[j]))
-            if u:
-                yield pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)}).drop_duplicates()
+                        pairs |= {(max(int(x), int(rep[j])), min(int(x), int(rep[j]))) for x in rep[left[other][agree >= least]]}
+                if len(pairs) > len(left) + len(right):
+                    out.append((*spot[lo].tolist(), None, None))
+                else:
+                    out += [(None, None, None, u, v) for u, v in pairs]
+            yield pd.DataFrame(out, columns=[*CELL_KEY, "u", "v"], dtype=object).astype("Int64")
+
+    return materialise(_dealt(cells).mapInPandas(work, "key long, r long, c long, u long, v long"))
+
+
+def _inside(cells: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(u, v): links between components within whole cells of texts, as few as join what is linked.
+
+    Intersections of full shingle sets come from products of incidence matrices, a slice of shingles at a time.
+    """
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, cut in complete_groups(batches, CELL_KEY):
+            rep, comp, texts = rows["rep"].to_numpy(), rows["comp"].to_numpy(), rows["text"].to_numpy()
+            found: list[tuple[int, int]] = []
+            for _, left, right in _sides(rows, cut):
+                both = np.concatenate([left, right])
+                sets = shingle_sets(as_bytes(texts[both]), shingle)
+                sizes = np.array([len(s) for s in sets])
+                owner = np.repeat(np.arange(len(both)), sizes)
+                seen, column = np.unique(np.concatenate(sets), return_inverse=True)
+                common = np.zeros((len(left), len(right)))
+                order = np.argsort(column, kind="stable")
+                owner, column = owner[order], column[order]
+                for a in range(0, len(seen), SLICE):
+                    x, y = np.searchsorted(column, [a, a + SLICE])
+                    has = np.zeros((len(both), min(SLICE, len(seen) - a)), np.float32)
+                    has[owner[x:y], column[x:y] - a] = 1
+                    common += has[: len(left)] @ has[len(left) :].T
+                union = sizes[: len(left), None] + sizes[None, len(left) :] - common
+                group: dict[int, int] = {}
+
+                def root(i: int) -> int:
+                    while group.get(i, i) != i:
+                        i = group[i]
+                    return i
+
+                for i, j in zip(*np.nonzero(100 * common >= percent * union)):
+                    u, v = root(int(comp[left[i]])), root(int(comp[right[j]]))
+                    if u != v:
+                        group[max(u, v)] = min(u, v)
+                        found.append((int(rep[left[i]]), int(rep[right[j]])))
+            yield pd.DataFrame(found, columns=["u", "v"])
 
-    dealt = cells.repartition("key", "r", "c").sortWithinPartitions("key", "r", "c")
-    return dealt.mapInPandas(work, "u long, v long").distinct()
+    return materialise(_dealt(cells).mapInPandas(work, "u long, v long"))
 
 
 def near_duplicates(
@@ -138,10 +197,12 @@ def near_duplicates(
 
     Equal sets are one class, represented by its smallest id. Representatives meet in bands of ROWS hash
     minima; enough bands are taken that a pair at the threshold is missed with probability ``miss``. Each
-    bucket's members are first confirmed against its smallest member; what lies in different components of
-    a bucket after that is compared across components in cells of bounded size by its minima, then
-    confirmed on full sets too. So a bucket with a third of all rows costs one comparison per row unless it
-    truly holds several groups, and no link is lost.
+    bucket's members are first confirmed against one of them, drawn by hash, so that a large group is linked
+    through several hubs; what lies in different components of a bucket after that is compared across
+    components in cells of bounded size by its minima, then confirmed on full sets too. A cell with more
+    likely pairs than rows is compared whole and gives only the links that join components. So a bucket with
+    a third of all rows costs about one comparison per row unless it truly holds several groups, no list of
+    all pairs arises, and no link is lost.
 
     Null or wordless texts have size 0 and link with nothing. A row with a null id links with nothing, has a
     null component and is kept. Rows that share an id are one node; each comes back. Other columns are
@@ -159,10 +220,11 @@ def near_duplicates(
         lambda i: F.xxhash64(i, F.expr("minima").substr(i * width + 1, F.lit(width))),
     )
     keyed = reps.select("rep", F.explode(band).alias("key")).distinct()
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub")).filter("n > 1")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("rep", F.xxhash64("rep", "key")).alias("hub")).filter("n > 1")
     members = materialise(keyed.join(materialise(shared), "key").select("key", "rep", "hub"))
 
-    first = members.filter("rep != hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
+    first = members.filter("rep != hub").select(F.greatest("rep", "hub").alias("u"), F.least("rep", "hub").alias("v"))
+    first = materialise(first.distinct())
     links = confirm(first, docs, id_col, text_col, shingle, percent)
     parts = materialise(connected_components(links))
 
@@ -187,9 +249,17 @@ def near_duplicates(
     )
     share = percent / 100
     least = math.floor(n_hashes * share - 5 * math.sqrt(n_hashes * share * (1 - share)))
-    more = _across(rows.union(columns), least)
-    more = more.join(first, ["u", "v"], "left_anti")
-    links = links.union(confirm(more, docs, id_col, text_col, shingle, percent))
+    cells = materialise(rows.union(columns))
+    likely = _likely(cells, least)
+    pairs = likely.filter("u is not null").select("u", "v").distinct().join(first, ["u", "v"], "left_anti")
+    links = links.union(confirm(pairs, docs, id_col, text_col, shingle, percent))
+    whole = likely.filter("u is null").select(*CELL_KEY).distinct()
+    if not whole.isEmpty():
+        dense = materialise(cells.drop("minima").join(whole, CELL_KEY))
+        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        texts = materialise(only_ids(texts, "id", materialise(dense.select(F.col("rep").alias("id")).distinct())))
+        texts = texts.groupBy(F.col("id").alias("rep")).agg(F.max("text").alias("text"))
+        links = links.union(_inside(dense.join(texts, "rep"), shingle, percent))
     parts = materialise(connected_components(links))
 
     named = reps.select("set_a", "set_b", "rep").join(parts, F.col("rep") == F.col("node"), "left")
