@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -50,15 +51,21 @@ def only_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 
     Few ids are broadcast, so the large side is filtered where it is scanned; more are joined by a shuffle.
     """
-    name = ids.columns[0]
-    few = ids.count() <= BROADCAST_IDS
-    right = ids.select(F.col(name).alias("_id"))
-    return df.join(F.broadcast(right) if few else right, F.col(column) == F.col("_id"), "left_semi")
+    return _by_ids(df, column, ids, "left_semi")
 
 
 def without_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows whose ``column`` is not in ``ids``; rows with a null there stay."""
-    name = ids.columns[0]
+    return _by_ids(df, column, ids, "left_anti")
+
+
+def own_name(stem: str) -> str:
+    """A column name that no input table has."""
+    return f"{stem}_{uuid.uuid4().hex}"
+
+
+def _by_ids(df: DataFrame, column: str, ids: DataFrame, how: str) -> DataFrame:
     few = ids.count() <= BROADCAST_IDS
-    right = ids.select(F.col(name).alias("_id"))
-    return df.join(F.broadcast(right) if few else right, F.col(column) == F.col("_id"), "left_anti")
+    name = own_name("id")
+    right = ids.select(F.col(ids.columns[0]).alias(name))
+    return df.join(F.broadcast(right) if few else right, F.col(column) == F.col(name), how)

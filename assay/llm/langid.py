@@ -64,8 +64,8 @@ def text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return langs, np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
 
 
-def page_evidence(pages: DataFrame, model: tuple[list[str], np.ndarray], id_col: str, html_col: str) -> DataFrame:
-    """(id, _row.., declared, loglik): declared markup language and scaled text log-likelihood by language."""
+def page_evidence(pages: DataFrame, model: tuple[list[str], np.ndarray], id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """(id, url, declared, loglik): declared markup language and scaled text log-likelihood by language."""
     langs, table = model
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,7 +83,7 @@ def page_evidence(pages: DataFrame, model: tuple[list[str], np.ndarray], id_col:
                     "declared": [m and m[1].lower() for m in said], "loglik": list(total),
                 })
 
-    rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col("url"), F.col(html_col).alias("html"))
+    rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     return rows.mapInPandas(work, "id string, url string, declared string, loglik array<double>")
 
 
@@ -120,7 +120,7 @@ def identify(
     best = F.array_position(F.col("loglik"), F.array_max("loglik")).cast("int") - 1
     known = F.exists("loglik", lambda x: x != 0) if langs else F.lit(False)
     code = F.regexp_extract(path_of(url), r"^/([A-Za-z]{2})(?:/|$)", 1)
-    evidence = page_evidence(pages.withColumnRenamed(url_col, "url") if url_col != "url" else pages, model, id_col, html_col)
+    evidence = page_evidence(pages, model, id_col, url_col, html_col)
     seen = materialise(evidence.select(
         F.col("id").cast(pages.schema[id_col].dataType).alias("id"), "declared", "loglik", host_of(url).alias("host"), F.lower(code).alias("code"),
         F.when(known, best).alias("t"),

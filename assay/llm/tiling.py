@@ -35,7 +35,8 @@ def tokens(raws: list[bytes]) -> list[np.ndarray]:
 def tile(item: np.ndarray, text: np.ndarray, least: int = MIN_MATCH) -> tuple[int, int]:
     """(covered item tokens, tiles) of a greedy string tiling of two token sequences.
 
-    The longest match of unmarked tokens is marked first, then the next longest, down to ``least`` tokens.
+    The longest match of unmarked tokens is marked first, then the next longest, down to ``least`` tokens;
+    of equal ones, the first in the item.
     Windows of a length are compared by running Karp-Rabin values; the longest length that still matches
     is found by bisection, as every part of a match is a match.
     """
@@ -46,7 +47,8 @@ def tile(item: np.ndarray, text: np.ndarray, least: int = MIN_MATCH) -> tuple[in
     def meet(n: int) -> tuple[np.ndarray, np.ndarray]:
         at_i, at_t = _open(free_i, n), _open(free_t, n)
         _, x, y = np.intersect1d(value_i(at_i, n), value_t(at_t, n), return_indices=True)
-        return at_i[x], at_t[y]
+        order = np.argsort(at_i[x])
+        return at_i[x][order], at_t[y][order]
 
     while top >= least:
         low, high = least - 1, top
@@ -196,6 +198,8 @@ def _by_join(docs: DataFrame, items: DataFrame, share: float, least: int) -> Dat
         for batch in batches:
             for key, seq in zip(batch["key"], tokens(as_bytes(batch["text"]))):
                 found = np.unique(grams(seq, least))
+                if not len(found):
+                    continue
                 yield pd.DataFrame({"key": [key] * len(found), "seed": found.view(np.int64)})
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
