@@ -86,8 +86,8 @@ def test_id_files_in_order(spark, tmp_path, monkeypatch):
     ids = [None if r.id is None else int(r.id) for r in got]
     assert ids == sorted((i for i, _ in rows), key=lambda i: (i is not None, i))
     assert [r.start for r in got] == [sum(len(bytes(x.ids)) // 4 for x in got[:k]) for k in range(len(got))]
-    have = sorted((int(r.id or -1), zlib.crc32(bytes(r.ids))) for r in got)
-    assert have == sorted((i or -1, zlib.crc32(np.array(c, "<u4").tobytes())) for (i, t), n in _counted(rows).items() for c in [coded[i, t]] * n)
+    have = sorted((-1 if r.id is None else int(r.id), zlib.crc32(bytes(r.ids))) for r in got)
+    assert have == sorted((-1 if i is None else i, zlib.crc32(np.array(c, "<u4").tobytes())) for (i, t), n in _counted(rows).items() for c in [coded[i, t]] * n)
     idfile.write_ids(docs.limit(0), str(tmp_path / "none"), JSON, 2)
     assert idfile.read_ids(spark, str(tmp_path / "none")).count() == 0
 
