@@ -30,6 +30,19 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+BATCH_ROWS = 1_000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send long texts to Python BATCH_ROWS rows at a time, unless the session has a smaller setting already.
+
+    The setting stays for the session, as plans read it when they run.
+    """
+    if int(spark.conf.get(_ARROW_ROWS)) > BATCH_ROWS or int(spark.conf.get(_ARROW_ROWS)) <= 0:
+        spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a reduced table to the shared folder and read it back.
 
