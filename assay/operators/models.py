@@ -185,6 +185,9 @@ GRIDS: dict[str, dict[str, list]] = {
 }
 
 
+IGNORED_PARAMS = ("min_samples_split",)  # no counterpart in Spark's trees
+
+
 def param_grid(models: DataFrame) -> DataFrame:
     """Every grid point of every (.., model) row: adds grid_no and params as 'name=value' text.
 
@@ -214,7 +217,9 @@ def parse_params(text: str) -> dict:
 
 
 def sampled_params(spark, model: str, n: int, seed: int) -> list[dict]:
-    """The first n grid points in digest order, or all of them if there are fewer."""
+    """The first n grid points in digest order that differ in what Spark is told, or all of them if there are fewer."""
     grid = param_grid(spark.createDataFrame([(model,)], "model string"))
-    rows = grid.orderBy(F.md5(F.concat_ws("|", "params", F.lit(seed)))).limit(n).collect()
-    return [parse_params(r["params"]) for r in rows]
+    rows = grid.orderBy(F.md5(F.concat_ws("|", "params", F.lit(seed)))).collect()  # a fixed grid of a few hundred points
+    points = [parse_params(r["params"]) for r in rows]
+    told = {tuple((k, v) for k, v in p.items() if k not in IGNORED_PARAMS): p for p in reversed(points)}
+    return [p for p in points if p in list(told.values())][:n]

@@ -143,7 +143,7 @@ def fit_regressors(spark, folder):
 def cross_validate(spark, folder):
     """Fold summary of the best two regressors."""
     task, train, test = _price_task(spark, folder)
-    trained = training.train_models(train, test, task, [Spec(n) for n in REGRESSORS[:3]])
+    trained = training.train_models(train, test, task, [Spec(n) for n in REGRESSORS])
     return training.cross_validate(trained, 2)
 
 
@@ -196,7 +196,7 @@ def top_features(spark, folder):
 def evaluate_best(spark, folder):
     """Per-class report of every candidate beside the winner's name."""
     task, train, test = _quality_task(spark, folder)
-    trained = training.train_models(train, test, task, [Spec(n) for n in CLASSIFIERS[:3]])
+    trained = training.train_models(train, test, task, [Spec(n) for n in CLASSIFIERS])
     out = training.evaluate(trained, trained.ranking[0], ["lang"])
     return out["class_report"].withColumn("winner", F.lit(trained.ranking[0]))
 
