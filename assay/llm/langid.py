@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assay.llm.urls import domain_of, host_of, path_of, suffix_of
-from assay.llm.words import as_bytes, runs
+from assay.llm.words import as_bytes, byte_runs, runs
 from assay.session import materialise
 
 BUCKETS = 1 << 13
@@ -43,9 +43,9 @@ def text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            raws, langs = as_bytes(batch["text"]), batch["lang"].to_numpy()
-            for a, b in runs(raws):
-                bucket, starts = trigrams(raws[a:b])
+            langs = batch["lang"].to_numpy()
+            for a, b, raws in byte_runs(batch["text"]):
+                bucket, starts = trigrams(raws)
                 for lang in set(langs[a:b]):
                     own = np.concatenate([bucket[x:y] for x, y, other in zip(starts[:-1], starts[1:], langs[a:b]) if other == lang])
                     total[lang] = total.get(lang, 0) + np.bincount(own, minlength=BUCKETS)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from assay.llm.components import connected_components
 from assay.llm.frames import complete_groups, only_ids
-from assay.llm.words import as_bytes, mix, runs, shingle_sets
+from assay.llm.words import as_bytes, byte_runs, mix, runs, shingle_sets
 from assay.session import materialise
 
 ROWS = 5  # minima per band
@@ -50,9 +50,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, n_hash
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            raws = as_bytes(batch["text"])
-            for lo, hi in runs(raws, 1 << 23):
-                sets = shingle_sets(raws[lo:hi], shingle)
+            for lo, hi, raws in byte_runs(batch["text"], 1 << 22):
+                sets = shingle_sets(raws, shingle)
                 rows = minima_of(sets, n_hashes)
                 yield pd.DataFrame({
                     "id": batch["id"].iloc[lo:hi].to_numpy(),

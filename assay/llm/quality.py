@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from assay.llm.words import _BYTE, as_bytes, mix, runs, word_hashes
+from assay.llm.words import _BYTE, byte_runs, mix, word_hashes
 
 BAD, GOOD, SILENT = 0, 1, 2
 BUCKETS = 1 << 13
@@ -240,19 +240,17 @@ def fit(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS)
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(3 ** len(LABELLERS), np.int64)
         for batch in batches:
-            raws = as_bytes(batch["text"])
-            for a, b in runs(raws):
-                total += np.bincount(votes_of(raws[a:b]), minlength=len(total))
+            for _, _, raws in byte_runs(batch["text"]):
+                total += np.bincount(votes_of(raws), minlength=len(total))
         some = np.flatnonzero(total)
         yield pd.DataFrame({"pattern": some, "n": total[some]})
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            raws = as_bytes(batch["text"])
-            for a, b in runs(raws):
-                rows = features(raws[a:b])
+            for a, b, raws in byte_runs(batch["text"]):
+                rows = features(raws)
                 yield pd.DataFrame({
-                    "place": batch["place"].iloc[a:b].to_numpy(), "pattern": votes_of(raws[a:b]),
+                    "place": batch["place"].iloc[a:b].to_numpy(), "pattern": votes_of(raws),
                     "at": [r[0].astype(np.int32).tobytes() for r in rows], "x": [r[1].astype(np.float32).tobytes() for r in rows],
                 })
 
@@ -283,8 +281,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
 
     def work(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for text in texts:
-            raws = as_bytes(text)
-            parts = [model.scorer.score(features(raws[a:b])) for a, b in runs(raws)]
+            parts = [model.scorer.score(features(raws)) for _, _, raws in byte_runs(text)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     scorer = F.pandas_udf(work, "double")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assay.llm import bpe, chaining, idfile, langid, minhash, quality, suffixes, tiling, topk, urls
-from assay.session import shared_folder
+from assay.session import shared_folder, small_batches
 from assay.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +19,12 @@ CHECK_SQL: dict[str, str] = {}
 def query(name: str, check: str | None = None):
     """Register a (spark, folder) -> DataFrame query with its check SQL, if one exists."""
     def keep(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            small_batches(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if check is not None:
             CHECK_SQL[name] = check
         return fn

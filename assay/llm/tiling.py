@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from assay.llm.words import as_bytes, grams, runs, word_hashes
+from assay.llm.words import as_bytes, byte_runs, grams, runs, word_hashes
 from assay.session import materialise
 
 MIN_MATCH = 5  # tokens of the shortest tile
@@ -178,10 +178,9 @@ def _by_broadcast(docs: DataFrame, items: DataFrame, share: float, least: int) -
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bench = held.value
         for batch in batches:
-            raws = as_bytes(batch["text"])
-            for a, b in runs(raws):
+            for a, b, raws in byte_runs(batch["text"]):
                 rows = []
-                hashes, first, _, _ = word_hashes(raws[a:b], _BETWEEN)
+                hashes, first, _, _ = word_hashes(raws, _BETWEEN)
                 all_grams = grams(hashes, least)
                 for key, lo, hi in zip(batch["id"].iloc[a:b], first[:-1].tolist(), first[1:].tolist()):
                     if hi - lo >= least:

@@ -56,6 +56,13 @@ def runs(raws: list[bytes], limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]
         yield start, len(raws)
 
 
+def byte_runs(texts, limit: int = RUN_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(start, end, UTF-8 bytes) of neighbouring texts of about ``limit`` characters together."""
+    texts = [t if isinstance(t, str) else "" for t in texts]
+    for a, b in runs(texts, limit):
+        yield a, b, as_bytes(texts[a:b])
+
+
 def as_bytes(texts) -> list[bytes]:
     """UTF-8 bytes of each text; null becomes empty."""
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
