@@ -17,6 +17,7 @@ from assay.llm.words import runs
 # Field numbers and enum values of the public sentencepiece model format.
 _PIECE, _TRAINER, _NORMALIZER = 1, 2, 3
 _NORMAL, _UNKNOWN, _BPE = 1, 2, 2
+CACHED = 150_000  # pieces per generation that a worker keeps
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -76,7 +77,7 @@ class Codec:
         self.model = sentencepiece.SentencePieceProcessor()
         self.model.LoadFromSerializedProto(serialise(tokens))
         self.split = regex.compile(pattern).findall
-        self.cache = PieceCache(self._codes)
+        self.cache = PieceCache(self._codes, CACHED)
 
     def _codes(self, texts: list[str]) -> list[bytes]:
         """32-bit ids of each text, by its pre-tokens."""

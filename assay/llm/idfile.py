@@ -22,6 +22,7 @@ from assay.llm.words import runs
 
 MAGIC = b"AID1"
 BLOCK_IDS = 4 << 20  # ids that close a block
+TABLE_IDS = 1 << 24  # ids below this are ranked by a table
 PART_CHARS = 24 << 20  # characters of text per file
 _HEAD = struct.Struct("<4sIII")
 _SIZES = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
@@ -30,11 +31,21 @@ _SIZES = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)]
 def pack(docs: list[np.ndarray]) -> bytes:
     """One block of the documents' ids."""
     ids = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
-    values, place, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() < TABLE_IDS:  # a vocabulary's ids: count and look up, no sorting of the text
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        counts, place = counts[values], None
+    else:
+        values, place, counts = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.lexsort((values, -counts))
     rank_of = np.empty(len(order), np.uint32)
     rank_of[order] = np.arange(len(order), dtype=np.uint32)
-    ranks = rank_of[place] if len(ids) else ids
+    if place is None:
+        by_id = np.zeros(int(values[-1]) + 1, np.uint32)
+        by_id[values] = rank_of
+        ranks = by_id[ids]
+    else:
+        ranks = rank_of[place]
     size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     padded = np.zeros(-(-len(ids) // 4) * 4, np.uint8)
     padded[: len(ids)] = size - 1

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-CACHE_PIECES = 300_000  # per generation and Python worker
+CACHE_PIECES = 300_000  # per generation and Python worker; some 250 bytes each
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _TAIL = ".,;:!?%$#*&|)]}\""
 
@@ -37,31 +37,33 @@ class PieceCache:
     full it becomes the old one, and pieces still in use move up again.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], capacity: int = CACHE_PIECES) -> None:
+        self.encode, self.capacity = encode, capacity
         self.young: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
+        self.tails: dict[str, bytes] = {}
 
     def codes(self, texts: list[str]) -> list[bytes]:
         """Code of each text."""
+        if len(self.young) > self.capacity:
+            self.old, self.young = self.young, {}
         cut = [t.split(" ") for t in texts]
-        self._learn(set().union(*[p[1:] for p in cut]) if cut else set())
-        heads = self.encode([p[0] for p in cut])
         known = self.young
+        self._learn({p for pieces in cut for p in pieces if p not in known})
+        heads = self.encode([p[0] for p in cut])
         out = []
         for text, head, pieces in zip(texts, heads, cut):
             try:
                 odd = pieces[0] == "" or pieces[0][-1].isspace()
-                out.append(self._careful(text) if odd else b"".join([head, *[known[p] for p in pieces[1:]]]))
+                del pieces[0]
+                out.append(self._careful(text) if odd else head + b"".join(map(known.__getitem__, pieces)))
             except TypeError:  # a piece with white space at its edge has no code of its own
                 out.append(self._careful(text))
         return out
 
-    def _learn(self, wanted: set[str]) -> None:
-        if len(self.young) > CACHE_PIECES:
-            self.old, self.young = self.young, {}
+    def _learn(self, missing: set[str]) -> None:
+        """Codes of pieces behind a space; a piece's closing marks are a pre-token apart from a letter before them."""
         young, old = self.young, self.old
-        missing = wanted.difference(young)
         cores: dict[str, str] = {}
         for p in missing:
             if p in old:
@@ -72,19 +74,21 @@ class PieceCache:
                 core = p.rstrip(_TAIL)
                 cores[p] = core if core and core[-1].isalpha() else p
         new = list({c for c in cores.values() if c not in young and c not in old})
-        for c, code in zip(new, self.encode([" " + c for c in new])):
-            young[c] = code
-        tails = list({p[len(c):] for p, c in cores.items() if p != c})
-        code_of = dict(zip(tails, self.encode(tails)))
+        young.update(zip(new, self.encode([" " + c for c in new])))
+        tails = list({p[len(c):] for p, c in cores.items() if p != c}.difference(self.tails))
+        if len(self.tails) > 10_000:
+            self.tails = {}
+            tails = list({p[len(c):] for p, c in cores.items() if p != c})
+        self.tails.update(zip(tails, self.encode(tails)))
         for p, c in cores.items():
             if p != c:
                 code = young.get(c)
-                young[p] = (old[c] if code is None else code) + code_of[p[len(c):]]
+                young[p] = (old[c] if code is None else code) + self.tails[p[len(c):]]
 
     def _careful(self, text: str) -> bytes:
         """Cut only at single spaces between other characters; edges of the text stay whole."""
         pieces = _SAFE.split(text)
         head = self.encode([pieces[0]])[0]
         plain = {p for p in pieces[1:] if not p[-1].isspace()}
-        self._learn(plain)
+        self._learn(plain.difference(self.young))
         return b"".join([head, *[self.young[p] if p in plain else self.encode([" " + p])[0] for p in pieces[1:]]])

@@ -56,9 +56,8 @@ def _tiktoken(held=[]):
     return held[0]
 
 
-def test_cache_generations_keep_codes_right(monkeypatch):
-    monkeypatch.setattr("assay.llm.pieces.CACHE_PIECES", 3)
-    cache = PieceCache(lambda texts: [t.encode() for t in texts])
+def test_cache_generations_keep_codes_right():
+    cache = PieceCache(lambda texts: [t.encode() for t in texts], 3)
     for text in ["a bb, ccc dddd", "bb, a eeeee", "ccc a bb, f, g", "  x y", "p q \n"] * 3:
         assert cache.codes([text])[0] == text.encode()
 
