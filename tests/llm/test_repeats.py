@@ -29,6 +29,7 @@ def texts_with_repeats(seed):
     rows = [(3 * i, t) for i, t in enumerate(base)]
     rows += [(200 + i, base[i][: 120 + i] + rng.choice(shared) + base[(i + 7) % 30][-90:]) for i in range(20)]
     rows += [(300 + i, base[0]) for i in range(5)]  # equal texts
+    rows += [(500 + i, "xyz" * (40 + 5 * i)) for i in range(6)] + [(520, "q" + "xyz" * 50 + "q" + "xyz" * 60)]  # within and across
     rows += [(400, "ab" * 200), (401, "b" + "ab" * 60), (402, "a" * 300), (403, "a" * 49), (404, "a" * 50), (405, ""), (406, None)]
     return rows
 
