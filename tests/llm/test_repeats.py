@@ -104,6 +104,20 @@ def test_fuzzy_passages_are_found_and_clean_text_is_not(spark):
     assert chaining.repeated_passages(docs.limit(0)).count() == 0
 
 
+def test_a_passage_whose_seeds_all_lie_in_earlier_short_pieces_is_found(spark):
+    rng = random.Random(9)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    for _ in range(3):
+        passage = some(60)
+        rows = [(1, some(30) + passage[:35] + some(30)), (2, some(30) + passage[28:] + some(30)), (20, some(50) + passage + some(40)), (50, some(20) + passage + some(70))]
+        docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+        got = [tuple(r)[:6] for r in chaining.repeated_passages(docs).collect()]
+        # Brute force: pairs with a run of 40 equal words.
+        runs = {i: {tuple(w[k : k + 40]) for k in range(len(w) - 39)} for i, w in rows}
+        assert {g[:2] for g in got} == {(b, a) for b in runs for a in runs if a < b and runs[a] & runs[b]} == {(50, 20)}
+        assert [g[2:] for g in got] == [(20, 80, 50, 110)]
+
+
 def test_chain_scores_match_quadratic_search():
     rng = np.random.default_rng(2)
     for _ in range(30):
