@@ -118,6 +118,20 @@ def test_a_passage_whose_seeds_all_lie_in_earlier_short_pieces_is_found(spark):
         assert [g[2:] for g in got] == [(20, 80, 50, 110)]
 
 
+def test_passages_of_80_percent_equal_words_are_found(spark):
+    rng = random.Random(12)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], set()
+    for i in range(120):
+        passage = some(60)
+        # One word in 6, 7, 8 or 10 evenly, or one in 6 at random places between equal ends.
+        gone = set(range(3, 57, (6, 7, 8, 10)[i % 4])) if i % 5 else set(rng.sample(range(3, 57), 9))
+        rows += [(2 * i, some(40) + passage + some(30)), (2 * i + 1, some(25) + [f"z{i}-{k}" if k in gone else w for k, w in enumerate(passage)] + some(50))]
+        want.add((2 * i + 1, 2 * i))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    assert {(r.id, r.first_id) for r in chaining.repeated_passages(docs).collect()} == want
+
+
 def test_chain_scores_match_quadratic_search():
     rng = np.random.default_rng(2)
     for _ in range(30):
