@@ -18,13 +18,18 @@ FULL_TRIGRAMS = 200  # evidence of a longer text is scaled down to so many trigr
 LANGUAGES = 256  # most languages of a model; the table is this times BUCKETS
 STRENGTH = 5.0  # pages that a prior counts as
 _HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_LANG = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+_LANG = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<html\b[^>]*?\blang\s*=\s*[\"']?\s*(?P<lang>[a-z]{2,3})\b")
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 
 
+def declared_language(html: str) -> str | None:
+    """Language of the first html tag that names one, wherever it stands outside comments, scripts and styles."""
+    return next((m["lang"].lower() for m in _LANG.finditer(html) if m["lang"]), None)
+
+
 def trigrams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of each byte trigram of the joined texts, start of each text's trigrams and the end)."""
     joined = _FOLD[np.frombuffer(b"  ".join(raws) + b"   ", np.uint8)].astype(np.uint32)
@@ -77,10 +82,9 @@ def page_evidence(pages: DataFrame, model: tuple[list[str], np.ndarray], id_col:
                 total = np.stack([np.add.reduceat(t[bucket], starts[:-1]) for t in table], 1) if len(langs) else np.zeros((b - a, 0))
                 size = np.array([len(r.split()) and len(r) for r in raws])
                 total = np.where(size[:, None] > 0, total * np.minimum(1, FULL_TRIGRAMS / np.maximum(size, 1))[:, None], 0.0)
-                said = [_LANG.search(h[:4096]) for h in html[a:b]]
                 yield pd.DataFrame({
                     "id": batch["id"].iloc[a:b].to_numpy(), "url": batch["url"].iloc[a:b].to_numpy(),
-                    "declared": [m and m[1].lower() for m in said], "loglik": list(total),
+                    "declared": [declared_language(h) for h in html[a:b]], "loglik": list(total),
                 })
 
     rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))

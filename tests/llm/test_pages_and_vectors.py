@@ -63,6 +63,12 @@ def test_languages_of_pages(spark):
     assert langid.identify(pages.limit(0), spark.createDataFrame(docs, "doc_id long, text string, lang string")).count() == 0
 
 
+def test_declared_language_is_found_wherever_the_tag_stands():
+    for before in ("", "\n" * 5000, "<!-- " + "licence " * 900 + '<html lang="fr"> -->', "<!DOCTYPE html [" + "<!ENTITY a 'b'>" * 400 + "]>"):
+        assert langid.declared_language(before + '<HTML class="x" lang="DE-at"><body>') == "de"
+    assert langid.declared_language("<html><script>'<html lang=\"en\">'</script>" + "x" * 9000) is None
+
+
 def test_top_k_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
     monkeypatch.setattr(topk, "QUERY_ROWS", 7)
