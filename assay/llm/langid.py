@@ -15,7 +15,6 @@ from assay.session import materialise
 
 BUCKETS = 1 << 13
 FULL_TRIGRAMS = 200  # evidence of a longer text is scaled down to so many trigrams
-LANGUAGES = 256  # most languages of a model; the table is this times BUCKETS
 STRENGTH = 5.0  # pages that a prior counts as
 _HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 _LANG = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<html\b[^>]*?\blang\s*=\s*[\"']?\s*(?P<lang>[a-z]{2,3})\b")
@@ -42,7 +41,7 @@ def text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """(languages, log-likelihood by language and trigram bucket) from counts over every labelled document.
 
     Each task counts its own documents; what is shuffled is a row per task, language and bucket. Null texts
-    and languages count nothing. Languages are the LANGUAGES most frequent ones by trigrams.
+    and languages count nothing. Every language that occurs is modelled, with BUCKETS values each.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,12 +59,13 @@ def text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     rows = docs.select(F.lower(F.trim(F.col(lang_col))).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
     counted = materialise(rows.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    langs = sorted(r.lang for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+    langs = sorted(r.lang for r in counted.select("lang").distinct().collect())
     table = np.full((len(langs), BUCKETS), 0.5)
     place = {lang: i for i, lang in enumerate(langs)}
-    for r in counted.toLocalIterator():
-        if r.lang in place:
-            table[place[r.lang], r.bucket] += r.n
+    # One row a language; a row is a few tens of kilobytes.
+    cells = counted.groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("counts"))
+    for r in cells.toLocalIterator():
+        table[place[r.lang], r.buckets] += np.array(r.counts)
     return langs, np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
 
 
@@ -91,8 +91,13 @@ def page_evidence(pages: DataFrame, model: tuple[list[str], np.ndarray], id_col:
     return rows.mapInPandas(work, "id string, url string, declared string, loglik array<double>")
 
 
-def _counts(by: Column, langs: list[str]) -> Column:
-    return F.array(*[F.sum(F.when(by == i, 1.0).otherwise(0.0)) for i in range(len(langs))])
+def _by_language(tally: DataFrame, keys: list[str], n: int, name: str) -> DataFrame:
+    """One row per ``keys`` with the array of its counts by language, from rows (keys, t, n); a null t counts as none."""
+    cells = tally.groupBy(*keys, "t").agg(F.sum("n").cast("double").alias("n"))
+    pairs = F.collect_list(F.when(F.col("t").isNotNull(), F.struct("t", "n")))
+    held = cells.groupBy(*keys).agg(F.map_from_entries(pairs).alias("held"))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0.0)))
+    return held.select(*keys, filled.alias(name))
 
 
 def _shrunk(counts: Column, prior: Column) -> Column:
@@ -111,7 +116,8 @@ def identify(
     markup and the language code at the start of the path are evidence by how often each value meets each
     text language over all pages. The prior is the page's host's share of languages, shrunk to its registered
     domain's, that to its suffix's, that to the share over all pages; shares are grouped counts of text
-    languages. All parts add up as logarithms.
+    languages. A host without pages of known text language has its domain's share, and so on. All parts add
+    up as logarithms.
 
     A page without words has no text evidence; text_language is null then, and such pages count towards no
     share. Null html or url mean no text and no markup, or no host. Rows that repeat an id each come back;
@@ -134,17 +140,15 @@ def identify(
         return seen.select(F.col("id").alias(id_col), none.alias("language"), F.lit(None).cast("double").alias("posterior"), none.alias("text_language"), F.col("declared").alias("declared_language"))
 
     n = len(langs)
-    flat = F.array(*[F.lit(1.0 / n)] * n)
+    flat = F.array_repeat(F.lit(1.0 / n), n)
     spoken = seen.filter("t is not null")
-    hosts = spoken.groupBy("host").agg(_counts(F.col("t"), langs).alias("n_host"))
-    hosts = materialise(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
-
-    def summed(column: str) -> Column:
-        return F.array(*[F.sum(F.get(column, F.lit(i))) for i in range(n)])
-
-    domains = materialise(hosts.groupBy("domain", "suffix").agg(summed("n_host").alias("n_domain")))
-    suffixes = materialise(domains.groupBy("suffix").agg(summed("n_domain").alias("n_suffix")))
-    overall = suffixes.agg(summed("n_suffix").alias("n_all")).select(_shrunk(F.coalesce("n_all", F.array(*[F.lit(0.0)] * n)), flat).alias("p_all"))
+    # Hosts without text languages are counted too, with none, so that their domains' and suffixes' shares reach them.
+    tally = seen.groupBy("host", "t").agg(F.count(F.lit(1)).alias("n"))
+    tally = materialise(tally.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
+    hosts = _by_language(tally, ["host", "domain"], n, "n_host")
+    domains = _by_language(tally, ["domain", "suffix"], n, "n_domain")
+    suffixes = _by_language(tally, ["suffix"], n, "n_suffix")
+    overall = _by_language(tally, [], n, "n_all").select(_shrunk(F.col("n_all"), flat).alias("p_all"))
     # One row; the whole table of suffixes meets it.
     of_suffix = suffixes.crossJoin(F.broadcast(overall)).select("suffix", _shrunk(F.col("n_suffix"), F.col("p_all")).alias("p_suffix"))
     of_domain = domains.join(of_suffix, "suffix").select("domain", _shrunk(F.col("n_domain"), F.col("p_suffix")).alias("p_domain"))
@@ -152,13 +156,14 @@ def identify(
 
     def chances(column: str) -> DataFrame:
         """Chance of each value of a column under each language; written, one row a value."""
-        rows = materialise(spoken.filter(F.col(column).isNotNull()).groupBy(column).agg(_counts(F.col("t"), langs).alias("n")))
-        total = rows.agg(summed("n").alias("total"), F.count(F.lit(1)).alias("values"))
+        met = materialise(spoken.filter(F.col(column).isNotNull()).groupBy(column, "t").agg(F.count(F.lit(1)).alias("n")))
+        rows = _by_language(met, [column], n, "n")
+        total = _by_language(met, [], n, "total").crossJoin(met.agg(F.countDistinct(column).alias("values")))
         share = F.zip_with("n", "total", lambda a, b: (a + 0.5) / (b + 0.5 * (F.col("values") + 1)))
         return materialise(rows.crossJoin(F.broadcast(total)).select(column, share.alias(f"p_{column}")))
 
     joined = seen.join(of_host, "host", "left").join(chances("declared"), "declared", "left").join(chances("code"), "code", "left").crossJoin(F.broadcast(overall))
-    neutral = F.array(*[F.lit(1.0)] * n)
+    neutral = F.array_repeat(F.lit(1.0), n)
     parts = F.arrays_zip(
         F.col("loglik").alias("text"), F.coalesce("p_host", "p_all").alias("host"),
         F.coalesce("p_declared", neutral).alias("declared"), F.coalesce("p_code", neutral).alias("code"),

@@ -69,6 +69,26 @@ def test_declared_language_is_found_wherever_the_tag_stands():
     assert langid.declared_language("<html><script>'<html lang=\"en\">'</script>" + "x" * 9000) is None
 
 
+def test_new_hosts_take_their_domains_and_suffixes_languages(spark):
+    rng = random.Random(4)
+    words = {lang: ["".join(rng.choices(letters, k=5)) for _ in range(40)] for lang, letters in (("de", "abcdefg"), ("en", "hijklmn"))}
+    text = lambda lang: " ".join(rng.choices(words[lang], k=50))
+    docs = [(i, text(lang), lang) for i in range(10) for lang in words]
+    pages = [(i, f"http://h{i % 7}.big{i % 3}.com/", text("en")) for i in range(90)] + [(100 + i, f"http://a.firma{i % 4}.de/", text("de")) for i in range(20)]
+    pages += [(200 + i, f"http://b.mixed.com/{i}", text("de")) for i in range(20)]
+    pages += [(300, "http://new.firma1.de/", None), (301, "http://new.other.de/", ""), (302, "http://c.mixed.com/", None), (303, "http://new.com/", None), (304, "http://x.org/", None)]
+    got = langid.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert got.count() == len(pages)
+    assert {r.page_id: r.language for r in got.filter("page_id >= 300").collect()} == {300: "de", 301: "de", 302: "de", 303: "en", 304: "en"}
+
+
+def test_every_language_is_modelled(spark):
+    rng = random.Random(7)
+    docs = [(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(3 + i % 2)), f"l{i:03d}") for i in range(300)]
+    langs, table = langid.text_model(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert langs == [d[2] for d in docs] and table.shape == (300, langid.BUCKETS)
+
+
 def test_top_k_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
     monkeypatch.setattr(topk, "QUERY_ROWS", 7)
