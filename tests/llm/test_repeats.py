@@ -132,6 +132,26 @@ def test_passages_of_80_percent_equal_words_are_found(spark):
     assert {(r.id, r.first_id) for r in chaining.repeated_passages(docs).collect()} == want
 
 
+def test_gaps_and_ends_of_any_length_are_aligned_exactly(monkeypatch):
+    rng = np.random.default_rng(6)
+    for n, m, kinds in ((300, 250, 5), (260, 260, 400), (30, 20, 4), (1, 9, 2)):
+        x, y = rng.integers(0, kinds, n).astype(np.uint64), rng.integers(0, kinds, m).astype(np.uint64)
+        row = [0] * (m + 1)
+        for w in x.tolist():
+            new = [0]
+            for j, v in enumerate(y.tolist()):
+                new.append(row[j] + 1 if v == w else max(row[j + 1], new[j]))
+            row = new
+        for bits in (1 << 26, 0):
+            monkeypatch.setattr(chaining, "MASK_BITS", bits)
+            assert chaining._common(x, y) == row[-1]
+    x = np.arange(3000).astype(np.uint64)
+    y = x.copy()
+    y[::7] = 9999
+    y[1500:] = 8888
+    assert chaining._extend(x[1:], y[1:]) == (1497, int((x[1:1498] == y[1:1498]).sum()))  # 1498 differs
+
+
 def test_chain_scores_match_quadratic_search():
     rng = np.random.default_rng(2)
     for _ in range(30):
