@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from assay.llm.words import as_bytes, byte_runs, grams, runs, word_hashes
 from assay.session import materialise
@@ -16,13 +17,20 @@ MIN_MATCH = 5  # tokens of the shortest tile
 BROADCAST_TOKENS = 2_000_000  # benchmark tokens that may be sent to every task: 16 MB
 _U = np.uint64
 
-# Tokens are runs of ASCII letters and digits and of any non-ASCII characters; case is folded for A-Z.
+# Tokens are runs of ASCII letters and digits and of any non-ASCII characters; case is folded for A-Z. Characters of
+# scripts that are written without spaces (Thai, Lao, Burmese, Khmer, kana, Han) are a token each.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 _BETWEEN = np.ones(256, bool)
 _BETWEEN[128:] = False
 for _first, _last in ((48, 58), (65, 91), (97, 123)):
     _BETWEEN[_first:_last] = False
 
 
+def spaced(texts) -> list[str | None]:
+    """The texts with spaces around each character of an unspaced script."""
+    return [t if not isinstance(t, str) or t.isascii() else _UNSPACED.sub(r" \1 ", t) for t in texts]
+
+
 def tokens(raws: list[bytes]) -> list[np.ndarray]:
     """Token hashes of each text."""
     out: list[np.ndarray] = []
@@ -135,6 +143,22 @@ class Benchmark:
                 yield int(k), covered, n
 
 
+def by_length(ids: list, items: list[np.ndarray], least: int) -> list[Benchmark]:
+    """Items of ``least`` tokens or more, and those of each smaller length, which match as a whole; none of no tokens."""
+    out = []
+    for n in range(1, least + 1):
+        own = [k for k, t in enumerate(items) if len(t) == n or n == least <= len(t)]
+        if own:
+            out.append(Benchmark([ids[k] for k in own], [items[k] for k in own], n))
+    return out
+
+
+def row_key(ident: Column, text: Column) -> Column:
+    """Digest of a row's id, null or not, and text; null for a null text."""
+    ident = ident.cast("string")
+    return F.md5(F.concat(F.coalesce(F.length(ident).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(ident, F.lit("")), text))
+
+
 OUT = "id string, item_id string, item_tokens long, covered_tokens long, n_tiles long, coverage double"
 
 
@@ -145,13 +169,14 @@ def contaminated(
     """(id, item id, item_tokens, covered_tokens, n_tiles, coverage) of each leaked benchmark item in each document.
 
     An item is leaked into a document when tiles of ``least`` or more tokens that both share, found in any
-    order, cover ``share`` of the item's tokens. Items of fewer tokens than ``least``, null texts and empty
-    texts match nothing. Ids may be null; a document or item that repeats gives its rows once per repeat
-    while the benchmark is broadcast, else once per distinct pair of ids. Other columns are ignored; an empty
-    table on either side gives an empty result.
+    order, cover ``share`` of the item's tokens. An item of fewer tokens than ``least`` is leaked where all of
+    it stands in one run. Null and empty texts match nothing. Ids may be null; a document or item that repeats
+    gives its rows once per repeat, and rows that share an id but not the text each count alone. Other columns
+    are ignored; an empty table on either side gives an empty result.
 
     A benchmark of at most ``broadcast_tokens`` tokens, counted first, goes to every task and the documents
-    are read in one pass without a shuffle. A larger one is joined to the documents by shared seeds.
+    are read in one pass without a shuffle. A larger one is joined to the documents by shared seeds. Both ways
+    give the same rows.
     """
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).alias("text"))
     pairs_in = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
@@ -172,49 +197,58 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def _by_broadcast(docs: DataFrame, items: DataFrame, share: float, least: int) -> DataFrame:
     local = items.collect()
     held = docs.sparkSession.sparkContext.broadcast(
-        Benchmark([r.item_id for r in local], tokens(as_bytes([r.text for r in local])), least)
+        by_length([r.item_id for r in local], tokens(as_bytes(spaced([r.text for r in local]))), least)
     )
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bench = held.value
         for batch in batches:
-            for a, b, raws in byte_runs(batch["text"]):
+            for a, b, raws in byte_runs(spaced(batch["text"])):
                 rows = []
                 hashes, first, _, _ = word_hashes(raws, _BETWEEN)
-                all_grams = grams(hashes, least)
+                sets = [(bench, grams(hashes, bench.least)) for bench in held.value]
                 for key, lo, hi in zip(batch["id"].iloc[a:b], first[:-1].tolist(), first[1:].tolist()):
-                    if hi - lo >= least:
-                        for k, covered, n in bench.compare(hashes[lo:hi], share, all_grams[lo : hi - least + 1]):
-                            size = len(bench.items[k])
-                            rows.append((key, bench.ids[k], size, covered, n, covered / size))
+                    for bench, all_grams in sets:
+                        if hi - lo >= bench.least:
+                            for k, covered, n in bench.compare(hashes[lo:hi], share, all_grams[lo : hi - bench.least + 1]):
+                                size = len(bench.items[k])
+                                rows.append((key, bench.ids[k], size, covered, n, covered / size))
                 yield _frame(rows)
 
     return docs.mapInPandas(work, OUT)
 
 
 def _by_join(docs: DataFrame, items: DataFrame, share: float, least: int) -> DataFrame:
-    def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = {min(least, len(seq)) for seq in tokens(as_bytes(spaced(batch["text"])))} - {0}
+            yield pd.DataFrame({"n": sorted(found)}, dtype="int64")
+
+    def seeds(batches: Iterator[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, seq in zip(batch["key"], tokens(as_bytes(batch["text"]))):
-                found = np.unique(grams(seq, least))
-                if not len(found):
-                    continue
-                yield pd.DataFrame({"key": [key] * len(found), "seed": found.view(np.int64)})
+            for key, seq in zip(batch["key"], tokens(as_bytes(spaced(batch["text"])))):
+                for n in used if whole else [min(least, len(seq))]:
+                    found = np.unique(grams(seq, n)) if n else grams(seq[:0], 1)
+                    if len(found):
+                        yield pd.DataFrame({"key": [key] * len(found), "n": [n] * len(found), "seed": found.view(np.int64)})
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for key, item, text, item_text in zip(batch["id"], batch["item_id"], batch["text"], batch["item_text"]):
-                bench = Benchmark([item], tokens(as_bytes([item_text])), least)
-                for _, covered, n in bench.compare(tokens(as_bytes([text]))[0], share):
-                    size = len(bench.items[0])
-                    rows.append((key, item, size, covered, n, covered / size))
+                for bench in by_length([item], tokens(as_bytes(spaced([item_text]))), least):
+                    for _, covered, n in bench.compare(tokens(as_bytes(spaced([text])))[0], share):
+                        size = len(bench.items[0])
+                        rows.append((key, item, size, covered, n, covered / size))
             yield _frame(rows)
 
-    docs, items = docs.filter("id is not null"), items.filter("item_id is not null")
-    of_docs = docs.select(F.col("id").alias("key"), "text").mapInPandas(seeds, "key string, seed long").withColumnRenamed("key", "id")
-    of_items = items.select(F.col("item_id").alias("key"), "text").mapInPandas(seeds, "key string, seed long").withColumnRenamed("key", "item_id")
-    pairs = materialise(of_docs.join(of_items, "seed").select("id", "item_id").distinct())
-    both = pairs.join(docs.groupBy("id").agg(F.max("text").alias("text")), "id")
-    both = both.join(items.groupBy("item_id").agg(F.max("text").alias("item_text")), "item_id")
+    docs = docs.select(row_key(F.col("id"), F.col("text")).alias("key"), "id", "text").filter("key is not null")
+    items = items.select(row_key(F.col("item_id"), F.col("text")).alias("item_key"), "item_id", F.col("text").alias("item_text")).filter("item_key is not null")
+    # Seeds of documents are as long as some item needs: of ``least`` tokens, or of a short item's length.
+    used = [r.n for r in items.select(F.col("item_text").alias("text")).mapInPandas(lengths, "n long").distinct().collect()]
+    kind = "key string, n long, seed long"
+    of_docs = docs.select("key", "text").mapInPandas(lambda batches: seeds(batches, True), kind)
+    of_items = items.select(F.col("item_key").alias("key"), F.col("item_text").alias("text")).mapInPandas(lambda batches: seeds(batches, False), kind)
+    pairs = materialise(of_docs.join(of_items.withColumnRenamed("key", "item_key"), ["n", "seed"]).select("key", "item_key").distinct())
+    # Rows of equal id and text share a key; each of them meets the pair.
+    both = pairs.join(docs, "key").join(items, "item_key")
     return both.select("id", "item_id", "text", "item_text").mapInPandas(cover, OUT)

@@ -219,3 +219,17 @@ def test_leaks_by_either_way(spark):
         assert got == [(1, 0, 40), (2, 1, 40), (7, 3, 40)]
         assert tiling.contaminated(table.limit(0), bench, broadcast_tokens=bound).count() == 0
         assert tiling.contaminated(table, bench.limit(0), broadcast_tokens=bound).count() == 0
+
+
+def test_both_ways_of_leaks_keep_every_row(spark):
+    rng = random.Random(3)
+    some = lambda n: " ".join(f"v{rng.randrange(3000)}" for _ in range(n))
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    a, b, short, script = some(30), some(30), "red blue green", han(20)
+    docs = [(1, "zz " + some(20)), (1, f"aa {a} x"), (None, f"{b} y"), (None, some(9)), (2, f"q Red, blue green {some(9)}"), (3, "red blue x green"), (4, han(5) + script + han(9)), (5, short), (5, short), (6, None)]
+    items = [(10, a), (10, "zz " + some(30)), (None, b), (11, short), (12, script), (13, ""), (14, None)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for bound in (tiling.BROADCAST_TOKENS, 0):
+        got = [(r.doc_id, r.item_id, r.covered_tokens) for r in tiling.contaminated(table, bench, broadcast_tokens=bound).collect()]
+        assert sorted(got, key=str) == sorted([(1, 10, 30), (None, None, 30), (2, 11, 3), (4, 12, 20), (5, 11, 3), (5, 11, 3)], key=str)
