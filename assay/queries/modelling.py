@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from assay.operators import importance, models, oversample, report, training
 from assay.operators.counts import KEY, value_counts, TableInfo
 from assay.operators.fitting import FeaturePlan
-from assay.operators.models import Budget, Spec
+from assay.operators.models import Spec
 from assay.operators import diagnose, schema
 from assay.plans import rules
 from assay.queries.base import query, table
@@ -17,8 +17,6 @@ from assay.run import auto_model as run_auto_model
 from assay.session import materialise
 from assay.settings import PUBLISHED
 
-SMALL_BUDGET = Budget(trees=10, depth=5, rounds=10, iterations=50)
-
 CANDIDATE_CTES = PLAN_CTES + """,
   st2 as (select dataset_id, list(step) as steps from plan group by all),
   cd as (select sig.dataset_id, n_row, list_contains(steps, 'use_simple_models_only') as simple, list_contains(steps, 'use_ensemble_models') as ens,
@@ -109,7 +107,7 @@ def quality_table(spark, folder) -> DataFrame:
 def _quality_task(spark, folder, **kw) -> tuple[training.Task, DataFrame, DataFrame]:
     df = training.with_row_key(quality_table(spark, folder).dropDuplicates())
     plan = FeaturePlan(("n_chars", "words", "distinct_words", "digit_share"), (), ("lang", "source"), (), 400)
-    task = training.Task("quality", True, plan, training.class_labels(df, "quality"), True, budget=SMALL_BUDGET, **kw)
+    task = training.Task("quality", True, plan, training.class_labels(df, "quality"), True, **kw)
     return (task, *training.split(df, task, 0.2))
 
 
@@ -128,7 +126,7 @@ def _price_task(spark, folder):
     part = table(spark, folder, "part").select("p_brand", "p_type", "p_size", (F.col("p_partkey") % 997).alias("group_no"), "p_retailprice")
     df = training.with_row_key(part.dropDuplicates())
     plan = FeaturePlan(("p_size", "group_no"), (), ("p_type",), ("p_brand",), 2000)
-    task = training.Task("p_retailprice", False, plan, budget=SMALL_BUDGET)
+    task = training.Task("p_retailprice", False, plan)
     return (task, *training.split(df, task, 0.2))
 
 
@@ -149,18 +147,18 @@ def cross_validate(spark, folder):
 
 @query("random_search")
 def random_search(spark, folder):
-    """Sampled grid points of Ridge or the forest with their fold scores."""
+    """Sampled grid points of Ridge or the forest, whichever wins, with their fold scores."""
     task, train, test = _price_task(spark, folder)
-    trained = training.train_models(train, test, task, [Spec("Ridge")])
-    return training.random_search(trained, samples=3)
+    trained = training.train_models(train, test, task, [Spec("Ridge"), Spec("RandomForestRegressor")])
+    return training.random_search(trained)
 
 
 @query("tuned_model")
 def tuned_model(spark, folder):
     """Leaderboard after the winner was replaced by its tuned version."""
     task, train, test = _price_task(spark, folder)
-    trained = training.train_models(train, test, task, [Spec("DummyMean"), Spec("Ridge")])
-    return training.tune(trained, samples=2).board
+    trained = training.train_models(train, test, task, [Spec("DummyMean"), Spec("Ridge"), Spec("RandomForestRegressor")])
+    return training.tune(trained).board
 
 
 @query("native_importance")
@@ -213,5 +211,5 @@ def smote(spark, folder):
 @query("auto_model")
 def auto_model(spark, folder):
     """Whole run on labelled documents: every report row."""
-    result = run_auto_model(quality_table(spark, folder), "auto", "documents", budget=SMALL_BUDGET, max_replans=0, tune_samples=2)
+    result = run_auto_model(quality_table(spark, folder), "auto", "documents")
     return result.tables.get("report", result.tables["notes"])
