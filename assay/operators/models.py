@@ -153,7 +153,7 @@ def fit(
 def fit_warnings(model: Transformer) -> list[str]:
     """What a fitted model says about its own fit: coefficients or objective that are no numbers, unfinished iterations."""
     out = []
-    for part in getattr(model, "stages", [model]):
+    for part in getattr(model, "stages", None) or getattr(model, "models", None) or [model]:
         try:
             values = part.coefficientMatrix.toArray() if hasattr(part, "coefficientMatrix") else part.coefficients.toArray()
             if not all(math.isfinite(x) for x in values.ravel().tolist()):
@@ -161,7 +161,9 @@ def fit_warnings(model: Transformer) -> list[str]:
         except AttributeError:
             continue
         if getattr(part, "hasSummary", False):
-            history = list(part.summary.objectiveHistory or [])
+            # Some models bring their summary as a property, others as a method.
+            summary = part.summary() if callable(part.summary) else part.summary
+            history = list(summary.objectiveHistory or [])
             if any(not math.isfinite(x) for x in history):
                 out.append("overflow in objective")
             elif part.hasParam("maxIter") and len(history) > part.getOrDefault("maxIter"):

@@ -98,6 +98,10 @@ def _prepared(task: Task, train: DataFrame) -> tuple[Preparation, DataFrame, dic
         top = prepare.modes(ready, ["y"]).first()["mode_value"]
     facts = ready.agg(F.count("y").alias("n"), F.avg("y").alias("mean"), F.stddev_pop("y").alias("std")).first().asDict()
     facts["mode"] = top if task.classification else 0.0
+    if task.classification:
+        # Without this the tree learners guess the class count, and only up to a hundred.
+        nominal = {"ml_attr": {"type": "nominal", "name": "y", "num_vals": len(task.classes)}}
+        ready = ready.withColumn("y", F.col("y").alias("y", metadata=nominal))
     # Iterative fits run one small job per step: a tiny table must not be spread over many tasks.
     return preparation, ready.coalesce(max(1, -(-int(facts["n"]) // ROWS_PER_TASK))), facts
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from assay.operators import importance, oversample, prepare, ranks, splits, training
+from assay.operators import importance, models, oversample, prepare, ranks, splits, training
 from assay.operators.fitting import FeaturePlan
 from assay.operators.models import Budget, Spec
 from assay.run import auto_model
@@ -138,3 +138,13 @@ def test_many_classes_are_all_learnt(spark):
     train, test = training.split(training.with_row_key(df), task, 0.2)
     board = training.train_models(train, test, task, [Spec("DummyMostFrequent"), Spec("RandomForest")]).board
     assert board.count() == 2
+
+
+def test_warnings_of_every_kind_of_fit(spark):
+    df = spark.range(240).selectExpr("cast(id % 3 as double) as y", "array(cast(id % 3 as double), rand(1)) as x", "1.0D as w")
+    rows = df.coalesce(1).select("y", "w", array_to_vector("x").alias("features")).persist()
+    two, facts = rows.where("y < 2"), {"n": 240, "mode": 0.0, "mean": 1.0, "std": 0.8}
+    for name, data, k in [("LogisticRegression", rows, 3), ("SVC_RBF", two, 2), ("SVC_RBF", rows, 3), ("RandomForest", rows, 3),
+                          ("LinearRegression", rows, 0), ("Ridge", rows, 0), ("DummyMean", rows, 0)]:
+        model = models.fit(Spec(name), data, TINY, 1, k, facts)
+        assert set(models.fit_warnings(model)) <= {"iteration limit reached before convergence"}
