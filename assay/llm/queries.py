@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bpe, chaining, idfile, langid, minhash, quality, suffixes, tiling, topk, urls
+from assay.llm import bpe, chaining, idfile, langid, minhash, quality, simhash, suffixes, tiling, topk, urls
 from assay.session import shared_folder, small_batches
 from assay.sources.tables import read_table
 
@@ -111,3 +111,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe.encode_decode(read_table(spark, folder, "documents"), path, pattern)
+
+
+@query("op13_simhash")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose 3-word SimHash fingerprints differ in two bits or fewer."""
+    return simhash.simhash_groups(read_table(spark, folder, "documents"))
