@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bpe, chaining, idfile, langid, minhash, quality, simhash, suffixes, tiling, topk, urls
+from assay.llm import bpe, chaining, idfile, langid, minhash, negatives, quality, simhash, suffixes, tiling, topk, urls
 from assay.session import shared_folder, small_batches
 from assay.sources.tables import read_table
 
@@ -113,6 +113,30 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode(read_table(spark, folder, "documents"), path, pattern)
 
 
+OP11_CHECK = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda e: cast(floor(256 * cast(e as double)) as bigint)) as v from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+             cast(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+      from v a join v c on a.vec_id != c.vec_id and len(a.v) = len(c.v) where a.vec_id % 100 = 0),
+p as (select * from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as r from s where same) where r <= 5)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from
+    (select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+            row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as rank
+     from p join s on p.anchor_id = s.anchor_id and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+where rank <= 10"""
+
+
+@query("op11_hard_negatives", OP11_CHECK)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten negatives of moderate score for each of the five best positives of every hundredth vector."""
+    rows = read_table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 @query("op13_simhash")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 3-word SimHash fingerprints differ in two bits or fewer."""
