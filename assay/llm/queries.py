@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assay.llm import bpe, chaining, idfile, langid, minhash, negatives, quality, simhash, suffixes, tiling, topk, urls
+from assay.llm import bpe, chaining, idfile, langid, minhash, negatives, phrases, quality, simhash, suffixes, tiling, topk, urls
 from assay.session import shared_folder, small_batches
 from assay.sources.tables import read_table
 
@@ -137,6 +137,37 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(rows.withColumn("label", moved))
 
 
+OP12_CHECK = r"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+p as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+w as (select lang, row_number() over () as id, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x != '') as ws from p),
+u as (select lang, id, unnest(ws) as w1, generate_subscripts(ws, 1) as i from w),
+t as (select lang, w1, lead(w1) over q as w2, lead(w1, 2) over q as w3 from u window q as (partition by id order by i)),
+g as (select lang, 1 as k, w1 as phrase from t union all select lang, 2, w1 || ' ' || w2 from t where w2 is not null
+      union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from t where w3 is not null),
+f as materialized (select lang, k, phrase, count(*) as f from g group by all),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
+c as materialized (select *, string_split(phrase, ' ') as words from f where k > 1 and f >= 10),
+part as materialized (select lang, phrase, k, f as a, j, array_to_string(words[1:j], ' ') as one, array_to_string(words[j + 1:], ' ') as two
+         from c, (values (1), (2)) t(j) where j < k),
+cut as (select p.lang, p.phrase, p.k, p.a, x.f as l, y.f as r, j, cast(1000000 * p.a::hugeint * p.a // (x.f::hugeint * y.f) as bigint) as score
+        from part p join f x on x.lang = p.lang and x.phrase = p.one join f y on y.lang = p.lang and y.phrase = p.two),
+best as (select * from (select *, row_number() over (partition by lang, phrase order by score, j) as q from cut) where q = 1),
+inside as (select lang, array_to_string(words[1:2], ' ') as phrase, f from c where k = 3
+           union all select lang, array_to_string(words[2:3], ' '), f from c where k = 3),
+around as (select lang, phrase, max(f) as most from inside group by all),
+kept as (select b.lang, b.phrase, b.a, b.l, b.r, b.score
+         from best b left join around o on o.lang = b.lang and o.phrase = b.phrase where o.most is null or 100 * o.most < 50 * b.a)
+select lang, rank, phrase, a, l, r, n, score from
+    (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept) join n using (lang) where rank <= 2000"""
+
+
+@query("op12_collocations", OP12_CHECK)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words of each language."""
+    return phrases.collocations(read_table(spark, folder, "documents"))
+
+
 @query("op13_simhash")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose 3-word SimHash fingerprints differ in two bits or fewer."""
