@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assay.functions import values as fv
+from assay.session import compiled_methods
 
 KEY = "dataset_id"
 
@@ -92,11 +93,15 @@ def normal_text(counted: Column) -> Column:
     return F.when(is_digest, F.substring(counted, DIGEST_SIZE + 1, 2**31 - 1)).otherwise(fv.lower_trim(counted))
 
 
-def value_counts(df: DataFrame, target: str | None = None, columns: list[str] | None = None) -> DataFrame:
+def value_counts(
+    df: DataFrame, target: str | None = None, columns: list[str] | None = None, only: DataFrame | None = None,
+) -> DataFrame:
     """(dataset_id, pos, num, txt[, y_num, y_txt], cnt), nulls counted as a value.
 
-    ``pos`` is the column's place in the table; with ``target`` the counts are joint with it.
+    ``pos`` is the column's place in the table; with ``target`` the counts are joint with it. ``only`` may hold
+    the (dataset_id, pos) that are wanted, where not every dataset needs all ``columns``.
     """
+    compiled_methods(df.sparkSession)
     info = TableInfo.of(df)
     wanted = info.columns if columns is None else tuple(columns)
     cells = []
@@ -108,6 +113,8 @@ def value_counts(df: DataFrame, target: str | None = None, columns: list[str] |
         y_number, y_text = value_pair(df, target)
         carried += [y_number.alias("y_num"), y_text.alias("y_txt")]
     long = df.select(*carried, F.stack(F.lit(len(wanted)), *cells).alias("pos", "num", "txt"))
+    if only is not None:
+        long = long.join(only, [KEY, "pos"], "left_semi")
     by = [KEY, "pos", "num", "txt"] + (["y_num", "y_txt"] if target is not None else [])
     return long.groupBy(*by).agg(F.count(F.lit(1)).alias("cnt"))
 

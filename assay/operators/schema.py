@@ -15,17 +15,14 @@ TEXT_KINDS = ("categorical", "text", "boolean", "all_missing")
 _WORDS = [w for pair in th.BOOLEAN_WORD_PAIRS for w in pair]
 
 
-def _word_bit() -> Column:
+def word_bit(text: Column) -> Column:
     """One bit per word that can stand for a boolean, one more for any other text."""
-    norm = fv.lower_trim(F.col("txt"))
-    bit = F.when(norm.isNotNull(), 1 << len(_WORDS))
-    for i, w in reversed(list(enumerate(_WORDS))):
-        bit = F.when(norm == w, 1 << i).otherwise(bit)
-    return bit
+    known = F.create_map(*[F.lit(x) for i, w in enumerate(_WORDS) for x in (w, 1 << i)])
+    return F.when(text.isNotNull(), F.coalesce(F.try_element_at(known, fv.lower_trim(text)), F.lit(1 << len(_WORDS))))
 
 
-def _kind(info: TableInfo, max_unique: int) -> Column:
-    family = info.family_at(F.col("pos"))
+def kind_of(family: Column, max_unique: int) -> Column:
+    """Semantic kind of a column from its sums (int_like, n_numeric, words, ...) and distinct counts."""
     pair = F.lit(False)
     for a, b in th.BOOLEAN_WORD_PAIRS:
         pair = pair | (F.col("words") == (1 << _WORDS.index(a)) + (1 << _WORDS.index(b)))
@@ -60,7 +57,7 @@ def column_stats(counts: DataFrame, info: TableInfo, max_unique: int = th.CATEGO
         x.alias("x"),
         whole.alias("whole"),
         (family == fv.TEXT).alias("is_text"),
-        F.when(family == fv.TEXT, _word_bit()).alias("word"),
+        F.when(family == fv.TEXT, word_bit(F.col("txt"))).alias("word"),
     )
     cnt, given = F.col("cnt"), F.col("present")
     n = lambda cond: F.coalesce(F.sum(F.when(cond, cnt)), F.lit(0))
@@ -94,7 +91,7 @@ def column_stats(counts: DataFrame, info: TableInfo, max_unique: int = th.CATEGO
         "n_numeric", "n_whole",
         fv.safe_divide(F.col("int_like"), F.col("n_numeric")).alias("int_share"),
         "min_num", "max_num",
-        _kind(info, max_unique).alias("kind"),
+        kind_of(info.family_at(F.col("pos")), max_unique).alias("kind"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from assay import thresholds as th
 from assay.functions import values as fv
-from assay.operators import leakage, pairs, quality, schema, target as tg
+from assay.operators import leakage, pairs, quality, schema, sketches, target as tg
 from assay.operators.counts import KEY, TableInfo, value_counts, with_dataset
 from assay.queries.base import columns_of, duck, duck_number, duck_stats, query, table
 from assay.sources.tables import missing_to_null
@@ -78,6 +78,40 @@ def infer_schema(spark, folder):
     return union([schema.infer_schema(dataset(spark, folder, t)) for t in SCHEMA_TABLES])
 
 
+@query("infer_schema_sketch", " union all ".join(
+    f"select dataset_id, pos, column_name, kind, n_rows, n_present, min_num, max_num, top_count / n_rows >= 0.95 as near_constant from ({duck_stats(t)})"
+    for t in (*SCHEMA_TABLES, "v_nearconst")))
+def infer_schema_sketch(spark, folder):
+    """Decisions of the two-pass profile: as exact as those of full counts."""
+    parts = [sketches.profile_columns(dataset(spark, folder, t)) for t in (*SCHEMA_TABLES, "v_nearconst")]
+    numbers = [F.when(F.col("family") != "time", F.col(c)).alias(c) for c in ("min_num", "max_num")]
+    return union(parts).select(
+        KEY, "pos", "column_name", "kind", "n_rows", "n_present", *numbers, (F.col("top_share") >= th.NEAR_CONSTANT).alias("near_constant"))
+
+
+@query("n_unique_sketch", f"""select dataset_id, column_name, n_rows, n_unique, true as unique_within, true as top_within
+    from ({duck_stats('lineitem')} union all {duck_stats('events')} union all {duck_stats('documents')})""")
+def n_unique_sketch(spark, folder):
+    """Approximate distinct counts beside the exact ones: are these within the stated error."""
+    names = ("lineitem", "events", "documents")
+    rough = union([sketches.estimated_stats(sketches.sketch_columns(dataset(spark, folder, t))) for t in names])
+    exact = union([stats_of(spark, folder, t) for t in names]).select(KEY, "pos", F.col("n_unique").alias("true_unique"), F.col("top_count").alias("true_top"))
+    return rough.join(exact, [KEY, "pos"]).select(
+        KEY, "column_name", "n_rows", F.col("true_unique").alias("n_unique"),
+        F.col("true_unique").between(F.col("unique_low"), F.col("unique_high")).alias("unique_within"),
+        F.col("true_top").between(F.col("top_low"), F.col("top_high")).alias("top_within"))
+
+
+@query("sketch_merge", f"""select column_name, kind, n_rows, n_present, n_unique, min_num, max_num
+    from ({duck_stats('lineitem')}) where n_unique <= 100""")
+def sketch_merge(spark, folder):
+    """Sketches of lineitem's parts by return flag, merged: the profile of the whole without a second scan."""
+    df = dataset(spark, folder, "lineitem")
+    parts = [sketches.sketch_columns(df.where(F.col("l_returnflag") == flag)) for flag in ("A", "N", "R")]
+    merged = sketches.estimated_stats(sketches.merge_sketches(*parts)).where("n_unique <= 100")
+    return merged.select("column_name", "kind", "n_rows", "n_present", "n_unique", "min_num", "max_num")
+
+
 @query("missing_pct", " union all ".join(
     f"select '{t}' as dataset_id, '{c}' as column_name, round(avg(case when {c} is null then 1 else 0 end) * 100, 6) as missing_pct from {duck(t)}"
     for t in ("lineitem", "v_missing") for c, _ in columns_of(t)))

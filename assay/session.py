@@ -43,6 +43,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
 
 
+JIT_BYTES = 8_000
+_METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit"
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Keep generated methods within the size the JVM compiles: longer ones run interpreted, four times slower here.
+
+    Aggregates over many columns generate such methods. The setting stays for the session, as plans read it when they run.
+    """
+    if int(spark.conf.get(_METHOD_BYTES)) > JIT_BYTES:
+        spark.conf.set(_METHOD_BYTES, str(JIT_BYTES))
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a reduced table to the shared folder and read it back.
 
