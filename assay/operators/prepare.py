@@ -199,6 +199,24 @@ def target_means(df: DataFrame, column: str, target: str, smoothing: float | Non
     return per.join(F.broadcast(whole)).select("_c", F.coalesce(encoded, F.col("g_mean")).alias(out), "g_mean")
 
 
+def category_means(df: DataFrame, column: str, targets: list[str]) -> DataFrame:
+    """(column, means): every category's shrunk means of several targets at once, by the ratio of variances.
+
+    One aggregate over the rows serves all targets; the means over all rows follow from its sums.
+    """
+    sums = [x for i, t in enumerate(targets) for x in (
+        F.avg(t).alias(f"m{i}"), F.var_pop(t).alias(f"v{i}"), F.count(t).alias(f"n{i}"))]
+    per = df.groupBy(column).agg(*sums)
+    whole = df.agg(*[x for i, t in enumerate(targets) for x in (F.avg(t).alias(f"g{i}"), F.var_pop(t).alias(f"gv{i}"))])
+    means = []
+    for i in range(len(targets)):
+        n, pull = F.col(f"n{i}"), F.col(f"n{i}") * F.col(f"gv{i}") + F.col(f"v{i}")
+        weight = n * F.col(f"gv{i}") / F.when(pull > 0, pull)
+        shrunk = weight * F.col(f"m{i}") + (1 - weight) * F.col(f"g{i}")
+        means.append(F.coalesce(shrunk, F.col(f"g{i}"), F.lit(0.0)))
+    return per.join(F.broadcast(whole)).select(column, F.array(*means).alias("means"))  # whole is one row
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: rows / (classes x class rows)."""
     sizes = df.groupBy(F.col(label).alias("class_label")).agg(F.count(F.lit(1)).alias("class_rows"))

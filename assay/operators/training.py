@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assay import thresholds as th
@@ -12,6 +12,7 @@ from assay.functions import values as fv
 from assay.operators import importance, metrics, oversample, prepare, splits
 from assay.operators.fitting import FeaturePlan, Preparation, fit_preparation
 from assay.operators.models import Budget, Spec, fit, sampled_params
+from assay.operators.stages import LabelNames
 from assay.session import materialise
 from assay.settings import Limits
 
@@ -246,6 +247,12 @@ def tune(trained: Trained, reduced: bool = False, samples: int | None = None, ti
                    trained.ranking, {**trained.params, name: params})
 
 
+def predictor(trained: Trained, name: str | None = None) -> PipelineModel:
+    """The whole way from raw rows to predicted_label as one pipeline that can be saved: the winner's, or a named model's."""
+    labels = LabelNames.of(trained.task.classes if trained.task.classification else [])
+    return PipelineModel([*trained.preparation.stages(), trained.models[name or trained.ranking[0]], labels])
+
+
 def feature_importance(trained: Trained, name: str, top: int = 5) -> DataFrame:
     """Top features of a model: native where it has them, else permutation on the whole test table."""
     spark = trained.train.sparkSession

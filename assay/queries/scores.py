@@ -71,6 +71,36 @@ def tuning_sample(spark, folder):
     return splits.tuning_sample(table(spark, folder, "orders"), "o_orderkey", "o_orderstatus", PUBLISHED.tune_rows, seed=SEED).select("o_orderkey", "o_orderstatus")
 
 
+PREPARED = f"""with t as (select l_orderkey, l_linenumber, l_quantity as q, disc_q as d, flag_h as h, l_orderkey % 97 as c, cast(l_quantity > 25 as int) as y
+        from {duck('v_missing')}),
+    m as (select quantile_cont(q, 0.5) as mq, quantile_cont(d, 0.5) as md from t),
+    mode as (select h from t where h is not null group by h order by count(*) desc, h limit 1),
+    f as (select t.*, coalesce(q, mq) as q1, coalesce(d, md) as d1 from t cross join m),
+    s as (select *, (q1 - avg(q1) over ()) / stddev_pop(q1) over () as sq, (d1 - avg(d1) over ()) / stddev_pop(d1) over () as sd from f),
+    p as (select *, sq * sq as qq, sq * sd as qd, sd * sd as dd from s),
+    e as (select c, count(y) as n, avg(y) as m, var_pop(y) as v from t group by c),
+    g as (select avg(y) as gm, var_pop(y) as gv from t),
+    te as (select c, n * gv / (n * gv + v) * m + (1 - n * gv / (n * gv + v)) * gm as mean from e cross join g)
+    select l_orderkey, l_linenumber,
+      {", ".join(f"round(({x} - avg({x}) over ()) / stddev_pop({x}) over (), 5) as f{i}" for i, x in enumerate(("sq", "sd", "qq", "qd", "dd")))},
+      {", ".join(f"cast(case when coalesce(p.h, mode.h) = '{x}' then 1 else 0 end as double) as f{i}" for i, x in enumerate("ANR", 5))},
+      round(te.mean, 5) as f8
+    from p cross join mode join te on te.c = p.c"""
+
+
+@query("prepared_features", PREPARED)
+def prepared_features(spark, folder):
+    """What models learn from: medians, scaling, degree-two terms, one-hot levels and encoded categories, fitted and applied."""
+    from pyspark.ml.functions import vector_to_array
+
+    from assay.operators.fitting import FeaturePlan, fit_preparation
+    df = table(spark, folder, "v_missing").withColumn("c", F.col("l_orderkey") % 97)
+    plan = FeaturePlan(("l_quantity", "disc_q"), (), ("flag_h",), ("c",), polynomial=True)
+    fitted = fit_preparation(df, plan, [(F.col("l_quantity") > 25).cast("double")])
+    rows = fitted.transform(df).withColumn("x", vector_to_array("features"))
+    return rows.select("l_orderkey", "l_linenumber", *[F.round(F.col("x")[i], 5).alias(f"f{i}") for i in range(9)])
+
+
 # --- preparation ---
 
 GAPS = """select l_orderkey, l_linenumber, l_quantity, case when l_orderkey % 4 = 0 then null else l_discount end as disc_q,

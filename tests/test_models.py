@@ -1,9 +1,15 @@
+import ast
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from assay.operators import importance, models, oversample, prepare, ranks, splits, training
+from assay.operators import fitting, importance, models, oversample, prepare, ranks, splits, training
 from assay.operators.fitting import FeaturePlan
 from assay.operators.models import Budget, Spec
 from assay.run import auto_model
@@ -51,6 +57,51 @@ def test_drivers_and_pipeline_sink(spark, trained, tmp_path):
     assert len(artefacts.load_pipeline(path).stages) == 2
 
 
+@pytest.mark.parametrize("name", ["RandomForest", "LogisticRegression", "DummyMostFrequent", None])
+def test_saved_run_predicts_like_the_fitted_one(spark, trained, tmp_path, name):
+    """Target-encoded plan; unseen and missing categories; columns the training rows did not have."""
+    new = planted(spark, 40).drop("target").withColumns({
+        "hi": F.when(F.col("num1") < 20, F.col("hi")).when(F.col("num1") < 30, F.lit("never seen")), "extra": F.lit(1)})
+    model = training.predictor(trained, name)
+    path = artefacts.save_pipeline(model, str(tmp_path), "r1")
+    path = artefacts.save_pipeline(model, str(tmp_path), "r1")  # a repeated write replaces the run's
+    want = {r["num1"]: r["predicted_label"] for r in model.transform(new).collect()}
+    again = PipelineModel.load(path)
+    rows = again.transform(new).collect()
+    assert {r["num1"]: r["predicted_label"] for r in rows} == want and len(rows) == 40
+    assert set(want.values()) <= {"no", "yes"} and rows[0]["extra"] == 1
+    assert [type(s).__name__ for s in again.stages][:2] == ["CategoryMeans", "SQLTransformer"]
+
+
+def test_saved_regression_predicts_in_another_process(spark, tmp_path):
+    rows = spark.range(300).selectExpr("cast(id % 17 as double) as x", "concat('c', id % 60) as hi", "id % 17 * 2.0D + id % 60 as y")
+    task = training.Task("y", False, FeaturePlan(("x",), (), (), ("hi",), 300), budget=TINY)
+    train, test = training.split(training.with_row_key(rows.dropDuplicates()), task, 0.2)
+    fitted = training.train_models(train, test, task, [Spec("Ridge")])
+    rows.limit(20).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    path = artefacts.save_pipeline(training.predictor(fitted), str(tmp_path), "r1")
+    want = [r["predicted_label"] for r in training.predictor(fitted).transform(spark.read.parquet(f"{tmp_path}/rows")).orderBy("x", "hi").collect()]
+    code = f"""
+from pyspark.sql import SparkSession
+from assay.sources.artefacts import load_pipeline
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+out = load_pipeline({path!r}).transform(spark.read.parquet("{tmp_path}/rows")).orderBy("x", "hi")
+print("got", [r["predicted_label"] for r in out.collect()])"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=200)
+    line = [x for x in out.stdout.splitlines() if x.startswith("got ")]
+    assert line and ast.literal_eval(line[0][4:]) == pytest.approx(want), out.stderr[-2000:]
+
+
+def test_a_missing_category_takes_the_most_frequent_one(spark):
+    df = training.with_row_key(spark.createDataFrame([("a", 1.0)] * 3 + [("b", 0.0)] * 2 + [(None, 0.5)], "c string, y double").withColumn("n", F.monotonically_increasing_id()))
+    for robust, category in ((False, "a"), (True, "__missing__")):
+        fitted = fitting.fit_preparation(df, FeaturePlan(target_encoded=("c",), robust_imputation=robust), [F.col("y")])
+        got = {r["c"]: r["_te_c_0"] for r in fitted.transform(df).collect()}
+        table = {r["category"]: r["means"][0] for r in fitted.encoder.table.collect()}
+        assert got[None] == table[category] and set(table) == ({"a", "b"} if not robust else {"a", "b", "__missing__"})
+
+
 def test_unseen_category_takes_the_global_mean(spark, trained):
     new = planted(spark, 1).withColumns({"hi": F.lit("new"), "cat": F.lit("Z")})
     x = trained.preparation.transform(new).select(vector_to_array("features").alias("x")).first()["x"]
