@@ -298,6 +298,50 @@ def ols_single(spark, folder):
     return fit.select(F.round("slope", 5).alias("slope"), F.round("intercept", 3).alias("intercept"), "n_rows")
 
 
+PENALTIES = (0.0, 0.01, 0.1, 1.0, 10.0, 100.0)
+
+
+@query("cross_validate_linear", f"""
+    with t as (select l_orderkey % 5 as fold, cast(l_quantity as double) as x, cast(l_extendedprice as double) as y from lineitem),
+    g as (select fold, count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x) as sxx, sum(x * y) as sxy, sum(y * y) as syy from t group by fold),
+    a as (select sum(n) as n, sum(sx) as sx, sum(sy) as sy, sum(sxx) as sxx, sum(sxy) as sxy from g),
+    r as (select g.fold, g.n as nc, g.sx as cx, g.sy as cy, g.sxx as cxx, g.sxy as cxy, g.syy as cyy,
+                 a.n - g.n as n, a.sx - g.sx as sx, a.sy - g.sy as sy, a.sxx - g.sxx as sxx, a.sxy - g.sxy as sxy from g cross join a),
+    b as (select *, unnest([{", ".join(f"cast({p} as double)" for p in PENALTIES)}]) as penalty from r),
+    w as (select *, (sxy - sx * sy / n) / (sxx - sx * sx / n + penalty) as slope from b),
+    v as (select *, (sy - slope * sx) / n as intercept from w),
+    e as (select *, cyy - 2 * (intercept * cy + slope * cxy) + intercept * intercept * nc + 2 * intercept * slope * cx + slope * slope * cxx as sse from v)
+    select penalty, cast(fold as integer) as fold, cast(n as bigint) as n_train, cast(nc as bigint) as n_check, round(slope, 3) as slope, round(intercept, 2) as intercept,
+           round(1 - sse / (cyy - cy * cy / nc), 6) as r2, round(sqrt(sse / nc), 2) as rmse from e""")
+def cross_validate_linear(spark, folder):
+    """Least squares and Ridge of five penalties over five folds of lineitem, from one pass."""
+    from assay.operators import normal
+    df = table(spark, folder, "lineitem").withColumn("fold", F.col("l_orderkey") % 5)
+    s = normal.fold_scores(df, ["l_quantity"], "l_extendedprice", "fold", list(PENALTIES))
+    return s.select("penalty", "fold", "n_train", "n_check", F.round(F.get("coefficients", 0), 3).alias("slope"),
+                    F.round("intercept", 2).alias("intercept"), F.round("r2", 6).alias("r2"), F.round("rmse", 2).alias("rmse"))
+
+
+@query("cross_validate_two", """
+    with t as (select l_orderkey % 3 as fold, cast(l_quantity as double) as x, cast(l_discount as double) as z, cast(l_extendedprice as double) as y from lineitem),
+    r as (select f.fold, count(*) as n, regr_sxx(y, x) as xx, regr_sxx(y, z) as zz, covar_pop(x, z) * count(*) as xz, regr_sxy(y, x) as xy,
+                 regr_sxy(y, z) as zy, avg(x) as mx, avg(z) as mz, avg(y) as my
+          from (select distinct fold from t) f join t on t.fold != f.fold group by f.fold),
+    b as (select *, unnest([cast(0 as double), cast(50 as double)]) as p from r),
+    c as (select fold, p, n, mx, mz, my, (xy * (zz + p) - zy * xz) / ((xx + p) * (zz + p) - xz * xz) as bx,
+                 (zy * (xx + p) - xy * xz) / ((xx + p) * (zz + p) - xz * xz) as bz from b)
+    select p as penalty, cast(fold as integer) as fold, n as n_train, round(bx, 3) as slope_x, round(bz, 1) as slope_z, round(r2, 6) as r2
+    from (select c.p, c.fold, c.n, c.bx, c.bz, 1 - sum((y - my - bx * (x - mx) - bz * (z - mz)) * (y - my - bx * (x - mx) - bz * (z - mz))) / (var_pop(y) * count(*)) as r2
+          from c join t on t.fold = c.fold group by all)""")
+def cross_validate_two(spark, folder):
+    """The same with two features, least squares and one penalty over three folds."""
+    from assay.operators import normal
+    df = table(spark, folder, "lineitem").withColumn("fold", F.col("l_orderkey") % 3)
+    s = normal.fold_scores(df, ["l_quantity", "l_discount"], "l_extendedprice", "fold", [0.0, 50.0])
+    b = F.col("coefficients")
+    return s.select("penalty", "fold", "n_train", F.round(F.get(b, 0), 3).alias("slope_x"), F.round(F.get(b, 1), 1).alias("slope_z"), F.round("r2", 6).alias("r2"))
+
+
 @query("baseline_mode", """
     with m as (select o_orderstatus as prediction, count(*) as n from orders group by 1 order by n desc, 1 limit 1)
     select prediction, (select count(*) from orders) as n_rows, round(n / (select count(*) from orders), 6) as accuracy from m""")
