@@ -1,23 +1,44 @@
 """Exact interpolated quantiles without ever gathering a column in one task.
 
-Spark's ``percentile`` keeps all distinct values of a group in one map. Here a monotone cell number
-splits each column's values; counting cells tells which cell holds a wanted rank, and only the values
-of those few cells are ordered. The number of cells is bounded by the resolution, not by the data.
+Spark's ``percentile`` keeps all distinct values of a group in one map. Here ranks are found by radix selection
+on the order-preserving 64-bit image of a double: counts by its leading 20 bits tell which cells hold a wanted
+rank, counts by the next 16 bits, inside those cells only, narrow them down, 16 more do so again, and only the
+values of the cells hit at last, at most 4,096 different ones each, are ordered. That holds for values of any size
+and spacing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CELLS_PER_E_FOLD = 4096
+# Bits of the image below the cells of each level.
+LEVELS = (44, 28, 12)
 
 # A group of at most this many rows is ordered as one cell: counting its cells would not pay.
 ONE_CELL_ROWS = 100_000
 
+_SMALLEST_NORMAL = 2.2250738585072014e-308
+_SMALLEST = 5e-324
+
+
+def order_image(v: Column) -> Column:
+    """A long that orders like the double, one for each: its bits, negated for negative values; both zeros are 0."""
+    a = F.abs(v)
+    guess = F.floor(F.log2(a)).cast("double")
+    power = lambda e: F.pow(F.lit(2.0), e)
+    exponent = F.when(a < power(guess), guess - 1).when(a >= power(guess + 1), guess + 1).otherwise(guess)  # the logarithm may be off by rounding
+    bits = F.shiftleft((exponent + 1023).cast("long"), 52) + ((a / power(exponent) - 1) * F.lit(2.0**52)).cast("long")
+    image = (
+        F.when(a < _SMALLEST_NORMAL, (a / F.lit(_SMALLEST)).cast("long"))
+        .when(a == float("inf"), F.lit(2047 << 52))
+        .otherwise(bits)
+    )
+    return F.when(v < 0, -image).otherwise(image)
+
 
-def _cell(v: Column) -> Column:
-    """Never decreasing in v: equal or larger values never get a smaller cell."""
-    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * CELLS_PER_E_FOLD)).cast("long")
+def leading_cell(v: Column) -> Column:
+    """The first level's cell: never decreasing in v."""
+    return F.shiftright(order_image(v), LEVELS[0])
 
 
 def _grid(probs: list[float]) -> int:
@@ -46,21 +67,32 @@ def weighted_quantiles(
     a column with an upper bound of the group's rows, so that small groups skip the cells.
     """
     v = F.col(value)
-    cell = _cell(v)
+    image = order_image(v)
     if group_rows is not None:
-        cell = F.when(F.col(group_rows) > ONE_CELL_ROWS, cell).otherwise(F.lit(0).cast("long"))
-    cells = counts.where(v.isNotNull()).select(*by, v.alias("v"), F.col(weight).alias("w"), cell.alias("cell"))
-    per_cell = cells.groupBy(*by, "cell").agg(F.sum("w").alias("cell_w"))
-    whole = Window.partitionBy(*by)
-    upto = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        image = F.when(F.col(group_rows) > ONE_CELL_ROWS, image)
+    rows = counts.where(v.isNotNull()).select(*by, v.alias("v"), F.col(weight).alias("w"), image.alias("image"))
+    # Groups without an image have one cell, on the first level only.
+    named = [F.coalesce(F.shiftright("image", below), F.lit(0).cast("long")).alias(f"c{i}") for i, below in enumerate(LEVELS)]
+    cells = rows.select(*by, "v", "w", *named, F.col("image").isNotNull().alias("fine")).withColumn("cell", F.col(f"c{len(LEVELS) - 1}"))
     m = _grid(probs)
     first, last = _grid_range(m, F.col("before"), F.col("cell_w"))
-    hit = (
-        per_cell.withColumn("total", F.sum("cell_w").over(whole))
-        .withColumn("before", F.sum("cell_w").over(upto) - F.col("cell_w"))
+    upto = lambda keys, order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per = cells.groupBy(*by, "c0").agg(F.sum("w").alias("cell_w"), F.bool_or("fine").alias("fine"))
+    top = (
+        per.withColumn("total", F.sum("cell_w").over(Window.partitionBy(*by)))
+        .withColumn("before", F.sum("cell_w").over(upto(by, "c0")) - F.col("cell_w"))
         .where(first <= last)
-        .select(*by, "cell", "total", "before")
     )
+    coarse = top.where("not fine").select(*by, F.col("c0").alias("cell"), "total", "before")
+    hit, inner = top.where("fine").select(*by, "c0", "total", "before"), cells.where("fine")
+    for i in range(1, len(LEVELS)):
+        per = inner.join(hit, [*by, f"c{i - 1}"]).groupBy(*by, f"c{i - 1}", f"c{i}", "total", "before").agg(F.sum("w").alias("cell_w"))
+        hit = (
+            per.withColumn("before", F.col("before") + F.sum("cell_w").over(upto([*by, f"c{i - 1}"], f"c{i}")) - F.col("cell_w"))
+            .where(first <= last)
+            .select(*by, f"c{i}", "total", "before")
+        )
+    hit = coarse.unionByName(hit.withColumnRenamed(f"c{len(LEVELS) - 1}", "cell"))
     inside = Window.partitionBy(*by, "cell").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

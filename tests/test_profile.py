@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from assay.functions.tails import paired_t_p_value, pearson_p_value
-from assay.operators import leakage, pairs, quality, schema, target as tg
+from assay.operators import leakage, pairs, quality, quantiles, schema, target as tg
 from assay.operators.counts import TableInfo, value_counts, with_dataset
 from assay.operators.quantiles import weighted_quantiles
 from assay.operators.signals import signals
@@ -164,3 +164,44 @@ def test_drop_list_sees_all_correlated_pairs(spark):
     df = base.selectExpr("r as x00", *[f"r * {i + 2} + rand({i}) * 0.001 as x{i + 1:02d}" for i in range(24)], "n % 2 as target")
     row = signals(with_dataset(df), "target").first()
     assert len(row["corr_cols"]) == 24
+
+
+def test_order_image_is_the_order_of_doubles(spark):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([
+        rng.normal(size=200) * 10.0 ** rng.integers(-300, 300, 200), 2.0 ** np.arange(-1074, 1024), -(2.0 ** np.arange(-1074, 1024, 7)),
+        np.nextafter(2.0 ** np.arange(-1021, 1023, 11), 0), np.nextafter(2.0 ** np.arange(-1021, 1023, 11), np.inf),
+        [0.0, 1e-5, 5e-324, 1.7976931348623157e308, np.inf, -np.inf], 0.1 + np.arange(50) * 1e-17, 1.7e15 + np.arange(50) * 0.25])
+    values = np.unique(values)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = {r["v"]: r["i"] for r in df.select("v", quantiles.order_image(F.col("v")).alias("i")).collect()}
+    images = [got[float(v)] for v in values]
+    assert all(a < b for a, b in zip(images, images[1:]))
+    bits = np.abs(values).view(np.int64)
+    assert images == np.where(values < 0, -bits, bits).tolist()
+
+
+@pytest.mark.parametrize("expr", ["id * 1e-5", "1e5 + id * 1e-5", "id * 1e-9", "1.7e15 + id * 37", "-1.0 / (id + 1)", "if(id % 3 = 0, 5.0, id * 1e-6)"])
+def test_no_cell_keeps_a_hundredth_of_the_rows(spark, expr, monkeypatch):
+    """Values as close as 1e-5, and times in microseconds: the cells ordered at last are small."""
+    n = 20_000
+    df = spark.range(n).selectExpr("'k' as k", f"cast({expr} as double) as v")
+    counts = df.groupBy("k", "v").count()
+    image = quantiles.order_image(F.col("v"))
+    most = counts.groupBy(F.shiftright(image, quantiles.LEVELS[-1])).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    assert most <= n / 100
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    values = np.array([r["v"] for r in df.collect()])
+    got = weighted_quantiles(counts, ["k"], "v", "count", probs).first()
+    np.testing.assert_allclose(got["q"], np.quantile(values, probs), rtol=1e-12, atol=0)
+
+
+def test_small_and_large_groups_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ONE_CELL_ROWS", 50)
+    rows = [("small", float(i), 1, 20) for i in range(20)] + [("large", i / 7, 2, 1000) for i in range(-300, 200)]
+    df = spark.createDataFrame(rows, "k string, v double, n long, size long")
+    got = {r["k"]: (r["n_values"], r["q"]) for r in weighted_quantiles(df, ["k"], "v", "n", [0.25, 0.5], "size").collect()}
+    for k in ("small", "large"):
+        values = np.repeat([v for g, v, _, _ in rows if g == k], [n for g, _, n, _ in rows if g == k])
+        assert got[k][0] == len(values)
+        np.testing.assert_allclose(got[k][1], np.quantile(values, [0.25, 0.5]))
