@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from assay import thresholds as th
 from assay.functions import values as fv
@@ -17,6 +21,8 @@ from assay.session import materialise
 from assay.settings import Limits
 
 ROWS_PER_TASK = 20_000
+LEAST_ROWS_PER_TASK = 2_000  # a table smaller than the cluster is spread over its cores down to so many
+FITS_AT_ONCE = 4  # fits the driver keeps running side by side; each broadcasts its own model
 BROADCAST_CLASSES = 100_000
 ROW = "_row"
 
@@ -104,7 +110,37 @@ def _prepared(task: Task, train: DataFrame) -> tuple[Preparation, DataFrame, dic
         nominal = {"ml_attr": {"type": "nominal", "name": "y", "num_vals": len(task.classes)}}
         ready = ready.withColumn("y", F.col("y").alias("y", metadata=nominal))
     # Iterative fits run one small job per step: a tiny table must not be spread over many tasks.
-    return preparation, ready.coalesce(max(1, -(-int(facts["n"]) // ROWS_PER_TASK))), facts
+    n = int(facts["n"])
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return preparation, ready.repartition(max(1, -(-n // ROWS_PER_TASK), min(cores, -(-n // LEAST_ROWS_PER_TASK)))), facts
+
+
+def side_by_side(spark: SparkSession, jobs: list[Callable[[], object]]) -> list:
+    """Results of independent driver jobs in order, FITS_AT_ONCE at a time; the first error is raised.
+
+    Small iterative fits leave most of the cores idle, so several share them. Each thread is bound to a scheduler
+    pool of its own, which counts where the session schedules fairly and is ignored where it does not.
+    """
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    sc = spark.sparkContext
+
+    def run(at: int) -> object:
+        sc.setLocalProperty("spark.scheduler.pool", f"fit-{at % FITS_AT_ONCE}")
+        return jobs[at]()
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), i) for i in range(len(jobs))]]
+
+
+def fit_all(task: Task, specs: list[Spec], ready: DataFrame, facts: dict) -> list[Transformer]:
+    """Every spec fitted on the same prepared rows, which are held while that lasts."""
+    ready = ready.persist()
+    try:
+        return side_by_side(ready.sparkSession, [
+            partial(fit, s, ready, task.budget, task.seed, len(task.classes), facts, task.logit_c) for s in specs])
+    finally:
+        ready.unpersist()
 
 
 def _predict(task: Task, model: Transformer, ready: DataFrame, name: str) -> DataFrame:
@@ -148,9 +184,7 @@ def train_models(train: DataFrame, test: DataFrame, task: Task, specs: list[Spec
     """Fit every candidate on the same prepared rows and rank them on the test rows."""
     preparation, ready, facts = _prepared(task, train)
     test_ready = materialise(preparation.transform(test).select(ROW, "features", task.y().alias("y")).where("y is not null"))
-    fitted = {
-        s.name: fit(s, ready, task.budget, task.seed, len(task.classes), facts, task.logit_c) for s in specs
-    }
+    fitted = dict(zip([s.name for s in specs], fit_all(task, specs, ready, facts)))
     predictions = materialise(_union([_predict(task, m, test_ready, n) for n, m in fitted.items()]))
     board, ranking = _board(task, predictions, [s.name for s in specs])
     return Trained(task, train, test, preparation, fitted, predictions, board, ranking, {s.name: s.params for s in specs})
@@ -186,8 +220,7 @@ def fold_predictions(task: Task, train: DataFrame, specs: list[Spec], k: int, ti
     for i, (fit_rows, check_rows) in enumerate(with_folds(task, train, k, time_column)):
         preparation, ready, facts = _prepared(task, fit_rows)
         check = materialise(preparation.transform(check_rows).select("features", task.y().alias("y")).where("y is not null"))
-        for n, s in enumerate(specs):
-            model = fit(s, ready, task.budget, task.seed, len(task.classes), facts, task.logit_c)
+        for n, (s, model) in enumerate(zip(specs, fit_all(task, specs, ready, facts))):
             name = s.name if len({x.name for x in specs}) == len(specs) else f"{s.name}#{n}"
             parts.append(_predict(task, model, check, name).withColumn("fold", F.lit(i)))
     return materialise(_union(parts))

@@ -2,6 +2,9 @@ import ast
 import os
 import subprocess
 import sys
+import threading
+import time
+from functools import partial
 
 import numpy as np
 import pytest
@@ -199,3 +202,34 @@ def test_warnings_of_every_kind_of_fit(spark):
                           ("LinearRegression", rows, 0), ("Ridge", rows, 0), ("DummyMean", rows, 0)]:
         model = models.fit(Spec(name), data, TINY, 1, k, facts)
         assert set(models.fit_warnings(model)) <= {"iteration limit reached before convergence"}
+
+
+def test_jobs_side_by_side_keep_order_and_raise(spark, monkeypatch):
+    running, most, lock = [0], [0], threading.Lock()
+
+    def job(i):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        n = spark.range(1000 * (i + 1)).count()
+        time.sleep(0.2)
+        with lock:
+            running[0] -= 1
+        return n
+
+    assert training.side_by_side(spark, [partial(job, i) for i in range(9)]) == [1000 * (i + 1) for i in range(9)]
+    assert 1 < most[0] <= training.FITS_AT_ONCE
+    assert training.side_by_side(spark, []) == [] and training.side_by_side(spark, [partial(job, 4)]) == [5000]
+    with pytest.raises(ZeroDivisionError):
+        training.side_by_side(spark, [partial(job, 1), lambda: 1 / 0, partial(job, 2)])
+
+
+def test_fits_side_by_side_equal_single_ones(spark):
+    df = spark.range(200).selectExpr("cast(id % 2 as double) as y", "array(cast(id % 2 as double), rand(1)) as x", "1.0D as w")
+    rows = df.coalesce(1).select("y", "w", array_to_vector("x").alias("features"))
+    task = training.Task("y", True, FeaturePlan(), ["0", "1"], budget=TINY)
+    facts, specs = {"n": 200, "mode": 0.0, "mean": 0.5, "std": 0.5}, [Spec(n) for n in ("RandomForest", "LogisticRegression", "DummyMostFrequent", "GradientBoosting")]
+    for s, model in zip(specs, training.fit_all(task, specs, rows, facts)):
+        alone = models.fit(s, rows, TINY, task.seed, 2, facts)
+        both = [[r["prediction"] for r in m.transform(rows).collect()] for m in (model, alone)]
+        assert type(model) is type(alone) and both[0] == both[1]
