@@ -48,7 +48,7 @@ _METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit"
 
 
 def compiled_methods(spark: SparkSession) -> None:
-    """Keep generated methods within the size the JVM compiles: longer ones run interpreted, four times slower here.
+    """Keep generated methods within the size the JVM compiles: longer ones run interpreted.
 
     Aggregates over many columns generate such methods. The setting stays for the session, as plans read it when they run.
     """
