@@ -1,9 +1,13 @@
-"""Pairwise-complete Pearson correlation of many columns in few aggregates."""
+"""Pairwise-complete Pearson correlation of many columns from blocked products of values and presence."""
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from assay import thresholds as th
@@ -11,42 +15,196 @@ from assay.functions import values as fv
 from assay.functions.tails import pearson_p_value
 from assay.operators.counts import KEY, TableInfo
 
-# Pairs per scan: bounds the generated code of very wide tables.
-PAIRS_PER_SCAN = 500
+BLOCK = 32  # columns a side of one shuffled block: 7 x 32 x 32 doubles, 57 KB
+SCAN_COLUMNS = 512  # columns a side of what one scan sums: a multiple of BLOCK; a task holds 15 MB of sums for them
+ROWS = 4096  # rows multiplied at a time
+LANES = 64  # partial sums meet in so many groups first, then these meet
+DOUBT = 1e-6  # spread left over of the squares, below which a pair is summed from its own rows
+
+# Planes of a stack of sums over the rows that hold both columns of a pair, first column down, second across.
+N, ODD, MEAN_X, MEAN_Y, SPREAD_X, SPREAD_Y, JOINT = range(7)
 
 
 def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Every column pair of every dataset: (dataset_id, col_a, col_b, corr, abs_corr, n_pairs).
+    """Every column pair of every dataset: (dataset_id, col_a, col_b, corr, n_pairs, abs_corr).
 
-    Each row yields its column pairs, kept where both sides are present, and the pairs are summed up on
-    the map side: a task ships one row per dataset and pair. corr is null where a side does not vary.
+    A row counts for a pair where both sides are present. Tasks multiply value and presence matrices, a few
+    thousand rows at a time, and hand on one row of sums per dataset and block of columns, whatever the number
+    of rows; sums meet in LANES groups, then as one. Up to SCAN_COLUMNS columns take one scan. corr is null
+    where a side does not vary over the pair's rows and NaN where it holds an infinity or its squares overflow; pairs without a common
+    row are left out, so an empty table or fewer than two columns give no rows.
     """
     info = TableInfo.of(df)
     families = dict(zip(info.columns, info.families))
     names = list(columns or [c for c in info.columns if families[c] in (fv.LONG, fv.DOUBLE)])
-    pairs = list(combinations(range(len(names)), 2))
-    numbers = df.select(KEY, *[fv.to_number(F.col(f"`{c}`"), families[c]).alias(f"x{i}") for i, c in enumerate(names)])
-    out = None
-    for start in range(0, max(len(pairs), 1), PAIRS_PER_SCAN):
-        part = _pair_sums(numbers, pairs[start:start + PAIRS_PER_SCAN])
-        out = part if out is None else out.unionByName(part)
-    name_at = lambda i: F.element_at(F.array(*[F.lit(c) for c in names]), F.col(i) + 1)
-    spread = F.col("var_x") * F.col("var_y")
-    return out.select(
-        KEY, name_at("i").alias("col_a"), name_at("j").alias("col_b"),
-        (F.col("covar") / F.sqrt(F.when(spread > 0, spread))).alias("corr"), "n_pairs",
-    ).withColumn("abs_corr", F.abs("corr"))
-
-
-def _pair_sums(numbers: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
-    nothing = F.lit(None).cast("double")
-    cells = [x for i, j in pairs for x in (F.lit(i), F.lit(j), F.col(f"x{i}"), F.col(f"x{j}"))]
-    stacked = F.stack(F.lit(len(pairs)), *cells) if pairs else F.stack(F.lit(1), F.lit(0), F.lit(0), nothing, nothing)
-    both = numbers.select(KEY, stacked.alias("i", "j", "x", "y")).where("x is not null and y is not null")
-    return both.groupBy(KEY, "i", "j").agg(
-        F.covar_pop("x", "y").alias("covar"), F.var_pop("x").alias("var_x"), F.var_pop("y").alias("var_y"),
-        F.count(F.lit(1)).alias("n_pairs"),
-    )
+    schema = f"{KEY} string, i int, j int, corr double, odd boolean, n_pairs long"
+    out = df.sparkSession.createDataFrame([], schema)
+    if len(names) > 1:
+        numbers = df.select(
+            F.col(KEY).cast("string").alias(KEY), *[fv.to_number(F.col(f"`{c}`"), families[c]).alias(f"x{i}") for i, c in enumerate(names)]
+        ).sortWithinPartitions(KEY)  # one dataset's sums are held at a time; nothing is sorted for a single table
+        sums = None
+        for a in range(0, len(names), SCAN_COLUMNS):
+            for b in range(a, len(names), SCAN_COLUMNS):
+                part = _partial_sums(numbers, _upto(a, len(names)), _upto(b, len(names)))
+                sums = part if sums is None else sums.unionByName(part)
+        met = sums.groupBy(KEY, "lane", "a", "b").applyInPandas(_meet, sums.schema)
+        out = met.groupBy(KEY, "a", "b").applyInPandas(_correlated, schema)
+    name_at = lambda i: F.element_at(F.array(*[F.lit(c) for c in names or [""]]), F.col(i) + 1)
+    corr = F.when(F.col("odd"), F.lit(float("nan"))).otherwise(F.col("corr"))
+    out = out.select(KEY, name_at("i").alias("col_a"), name_at("j").alias("col_b"), corr.alias("corr"), "n_pairs")
+    return out.withColumn("abs_corr", F.abs("corr"))
+
+
+def _upto(start: int, end: int) -> list[int]:
+    return list(range(start, min(start + SCAN_COLUMNS, end)))
+
+
+def _partial_sums(numbers: DataFrame, left: list[int], right: list[int]) -> DataFrame:
+    """(dataset_id, lane, a, b, sums): one row per task, dataset and block of the columns ``left`` x ``right``."""
+    wanted = left if left == right else left + right
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lane = TaskContext.get().partitionId() % LANES
+        key: str | None = None
+        held: np.ndarray | None = None
+
+        def blocks() -> pa.RecordBatch:
+            rows = []
+            for i in range(0, len(left), BLOCK):
+                for j in range(i if left == right else 0, len(right), BLOCK):
+                    sums = np.ascontiguousarray(held[:, i : i + BLOCK, j : j + BLOCK]).tobytes()
+                    rows.append({KEY: key, "lane": lane, "a": (left[0] + i) // BLOCK, "b": (right[0] + j) // BLOCK, "sums": sums})
+            return pa.RecordBatch.from_pylist(rows, _SUMS)
+
+        for batch in batches:
+            codes = batch.column(0).dictionary_encode(null_encoding="encode")
+            spots = codes.indices.to_numpy()
+            cuts = np.flatnonzero(np.diff(spots)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(spots)]):
+                if lo == hi:
+                    continue
+                now = codes.dictionary[int(spots[lo])].as_py()
+                if held is not None and now != key:
+                    yield blocks()
+                    held = None
+                key = now
+                for s in range(lo, hi, ROWS):
+                    some = batch.slice(s, min(ROWS, hi - s)).columns[1:]
+                    x = np.stack([c.to_numpy(zero_copy_only=False) for c in some], axis=1).astype(float)
+                    there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in some], axis=1)
+                    w = len(left)
+                    y, there_y = (x, there) if left == right else (x[:, w:], there[:, w:])
+                    sums = pair_sums(x[:, :w], there[:, :w], y, there_y)
+                    held = sums if held is None else merged(held, sums)
+        if held is not None:
+            yield blocks()
+
+    return numbers.select(KEY, *[f"x{i}" for i in wanted]).mapInArrow(work, f"{KEY} string, lane int, a int, b int, sums binary")
+
+
+_SUMS = pa.schema([(KEY, pa.string()), ("lane", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("sums", pa.binary())])
+
+
+def pair_sums(x: np.ndarray, there_x: np.ndarray, y: np.ndarray, there_y: np.ndarray) -> np.ndarray:
+    """Sums of every pair of a column of ``x`` and one of ``y`` over the rows where both are there.
+
+    Columns are centred at their means first. Where that leaves little of a pair's squares, as with a column
+    that hardly varies where the other is present, the pair is summed from its own rows, so that one that does
+    not vary has a spread of zero and its very value as mean.
+    """
+    use_x, use_y = there_x & np.isfinite(x), there_y & np.isfinite(y)
+    in_x, in_y = use_x.astype(float), use_y.astype(float)
+    raw_x, raw_y = np.where(use_x, x, 0.0), np.where(use_y, y, 0.0)
+    with np.errstate(over="ignore", invalid="ignore"):
+        mid_x, mid_y = raw_x.sum(0) / np.maximum(in_x.sum(0), 1), raw_y.sum(0) / np.maximum(in_y.sum(0), 1)
+        dx, dy = np.where(use_x, x - mid_x, 0.0), np.where(use_y, y - mid_y, 0.0)
+        out = np.empty((7, x.shape[1], y.shape[1]))
+        m = in_x.T @ in_y
+        out[N] = there_x.astype(float).T @ there_y.astype(float)
+        out[ODD] = out[N] - m
+        size = np.maximum(m, 1)
+        sum_x, sum_y, sq_x, sq_y = dx.T @ in_y, in_x.T @ dy, (dx * dx).T @ in_y, in_x.T @ (dy * dy)
+        one = m == 1
+        out[MEAN_X] = np.where(one, raw_x.T @ in_y, mid_x[:, None] + sum_x / size)
+        out[MEAN_Y] = np.where(one, in_x.T @ raw_y, mid_y[None, :] + sum_y / size)
+        out[SPREAD_X] = sq_x - sum_x * (sum_x / size)
+        out[SPREAD_Y] = sq_y - sum_y * (sum_y / size)
+        out[JOINT] = dx.T @ dy - sum_x * (sum_y / size)
+        out[SPREAD_X : JOINT + 1, m <= 1] = 0.0
+        low_x, low_y = (m > 1) & ~(out[SPREAD_X] > DOUBT * sq_x), (m > 1) & ~(out[SPREAD_Y] > DOUBT * sq_y)
+        flat_x = _flat(x, use_x, use_y, low_x, out[MEAN_X])
+        flat_y = _flat(y, use_y, use_x, low_y.T, out[MEAN_Y].T).T
+        out[SPREAD_X, flat_x] = 0.0
+        out[SPREAD_Y, flat_y] = 0.0
+        for i, j in zip(*np.nonzero((low_x & ~flat_x) | (low_y & ~flat_y))):
+            both = use_x[:, i] & use_y[:, j]
+            for plane, own, flat in ((MEAN_X, x[both, i], flat_x), (MEAN_Y, y[both, j], flat_y)):
+                if not flat[i, j]:
+                    out[plane, i, j] = own.mean()
+                    out[plane + 2, i, j] = np.sum((own - own.mean()) ** 2)
+            out[JOINT, i, j] = np.sum((x[both, i] - out[MEAN_X, i, j]) * (y[both, j] - out[MEAN_Y, i, j]))
+        out[JOINT, flat_x | flat_y] = 0.0
+    return out
+
+
+def _flat(x: np.ndarray, use: np.ndarray, other: np.ndarray, doubt: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Which doubtful pairs' own side holds one value only; that value becomes their mean."""
+    flat = np.zeros(doubt.shape, bool)
+    for i in np.flatnonzero(doubt.any(1)):
+        js = np.flatnonzero(doubt[i])
+        both = use[:, [i]] & other[:, js]
+        low = np.where(both, x[:, [i]], np.inf).min(0)
+        same = low == np.where(both, x[:, [i]], -np.inf).max(0)
+        flat[i, js[same]] = True
+        mean[i, js[same]] = low[same]
+    return flat
+
+
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of two sets of rows from the sums of each; equal means stay exactly equal."""
+    size_a, size_b = a[N] - a[ODD], b[N] - b[ODD]
+    size = np.maximum(size_a + size_b, 1)
+    out = a + b
+    with np.errstate(over="ignore", invalid="ignore"):
+        share = size_a * size_b / size
+        shift_x, shift_y = b[MEAN_X] - a[MEAN_X], b[MEAN_Y] - a[MEAN_Y]
+        for plane, shift in ((MEAN_X, shift_x), (MEAN_Y, shift_y)):
+            out[plane] = np.where(size_a == 0, b[plane], np.where(size_b == 0, a[plane], a[plane] + shift * (size_b / size)))
+        both = share > 0
+        out[SPREAD_X, both] += (shift_x * shift_x * share)[both]
+        out[SPREAD_Y, both] += (shift_y * shift_y * share)[both]
+        out[JOINT, both] += (shift_x * shift_y * share)[both]
+    return out
+
+
+def _together(group: pd.DataFrame) -> np.ndarray:
+    total = None
+    for raw in group["sums"]:
+        sums = np.frombuffer(raw).reshape(7, -1)
+        total = sums if total is None else merged(total, sums)
+    return total
+
+
+def _meet(group: pd.DataFrame) -> pd.DataFrame:
+    return group.iloc[:1].assign(sums=[_together(group).tobytes()])
+
+
+def _correlated(group: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of one block, first column before second, that share a row."""
+    a, b = int(group["a"].iloc[0]), int(group["b"].iloc[0])
+    total = _together(group)
+    # Only the last block of all is narrower, and it is never the first of two different blocks.
+    across = total.shape[1] // BLOCK if a != b else int(round(total.shape[1] ** 0.5))
+    i, j = np.divmod(np.arange(total.shape[1]), across)
+    i, j = i + a * BLOCK, j + b * BLOCK
+    keep = (i < j) & (total[N] > 0)
+    total = total[:, keep]
+    with np.errstate(over="ignore", invalid="ignore"):
+        spread = total[SPREAD_X] * total[SPREAD_Y]
+    odd = (total[ODD] > 0) | ~np.isfinite(spread)
+    corr = total[JOINT] / np.sqrt(np.where(odd | (spread == 0), np.nan, spread))  # pandas hands NaN on as null
+    return pd.DataFrame({KEY: group[KEY].iloc[0], "i": i[keep], "j": j[keep], "corr": corr, "odd": odd, "n_pairs": total[N].astype(np.int64)})
 
 
 def with_p_value(pairs: DataFrame) -> DataFrame:
