@@ -26,6 +26,7 @@ class Reputation:
     z: float = 1.645
     least_strength: float = 1.0
     most_strength: float = 10_000.0
+    shared_suffixes: tuple[str, ...] = ()  # suffixes of several labels under which names are registered, as co.uk
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,14 +42,22 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    """Last label of a host."""
-    return F.substring_index(host, ".", -1)
+def suffix_of(host: Column, shared: tuple[str, ...] = ()) -> Column:
+    """Last label of a host, or the longest of the ``shared`` suffixes that it ends with."""
+    return _tail(host, shared, 0)
 
 
-def domain_of(host: Column) -> Column:
-    """Last two labels of a host; the host itself if it has fewer."""
-    return F.substring_index(host, ".", -2)
+def domain_of(host: Column, shared: tuple[str, ...] = ()) -> Column:
+    """A host's suffix and the label before it; the host itself if it has no more."""
+    return _tail(host, shared, 1)
+
+
+def _tail(host: Column, shared: tuple[str, ...], more: int) -> Column:
+    out = F.substring_index(host, ".", -1 - more)
+    for suffix in sorted(shared, key=lambda s: s.count(".")):
+        fits = (host == suffix) | host.endswith("." + suffix)
+        out = F.when(fits, F.substring_index(host, ".", -1 - suffix.count(".") - more)).otherwise(out)
+    return out
 
 
 def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
@@ -61,13 +70,13 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
 
 
 def _strength(groups: DataFrame, name: str, limits: Reputation) -> DataFrame:
-    """One row: prior strength at a level by the method of moments over its groups (n, bad)."""
+    """One row: prior strength at a level by the method of moments over its groups (n, bad); none without outcomes."""
     share = F.col("bad") / F.col("n")
     one = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("bad"),
         F.count(F.lit(1)).cast("double").alias("g"), F.sum(F.col("n") * F.col("n")).cast("double").alias("n2"),
         F.sum(F.col("n") * share * share).alias("ss"),
-    )
+    ).filter("n > 0")
     p = (F.col("bad") + 1) / (F.col("n") + 2)
     within = p * (1 - p)
     spread = F.col("ss") - 2 * p * F.col("bad") + p * p * F.col("n")
@@ -77,32 +86,37 @@ def _strength(groups: DataFrame, name: str, limits: Reputation) -> DataFrame:
     return one.select(F.greatest(F.lit(limits.least_strength), F.least(F.lit(limits.most_strength), free)).alias(name), p.alias(f"p_{name}"))
 
 
-def host_reputation(outcomes: DataFrame, limits: Reputation = Reputation()) -> DataFrame:
-    """(host, n, bad, bad_share, bound, blocked) per host of the labelled pages (host, bad).
+def host_reputation(outcomes: DataFrame, limits: Reputation = Reputation(), hosts: DataFrame | None = None) -> DataFrame:
+    """(host, n, bad, bad_share, bound, blocked) per host of the labelled pages (host, bad) and of ``hosts`` (host).
 
     A suffix's bad share is shrunk to the overall share, a registered domain's to its suffix's, a host's to
-    its domain's, each by a beta prior whose strength comes from the spread of that level's groups. A host is
-    blocked if its posterior mean less z posterior deviations is max_bad or more.
+    its domain's, each by a beta prior whose strength comes from the spread of that level's groups. Where a
+    level has no outcomes its share is that of the level above, so a new host is judged by its domain's prior,
+    else its suffix's, else the overall one. A host is blocked if its posterior mean less z posterior deviations
+    is max_bad or more. Without any outcome there is no prior and no row.
     """
-    hosts = materialise(outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
-    domains = materialise(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    suffixes = materialise(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    k_s, k_d, k_h = _strength(suffixes, "k_s", limits), _strength(domains, "k_d", limits), _strength(hosts, "k_h", limits)
+    own = materialise(outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")))
+    known = own if hosts is None else own.select("host").union(hosts.select("host")).distinct().join(own, "host", "left")
+    placed = lambda rows: rows.withColumn("domain", domain_of(F.col("host"), limits.shared_suffixes)).withColumn(
+        "suffix", suffix_of(F.col("host"), limits.shared_suffixes))
+    own, known = placed(own), placed(known)
+    domains = materialise(own.groupBy("domain", "suffix").agg(F.sum("n").alias("n_d"), F.sum("bad").alias("bad_d")))
+    suffixes = materialise(domains.groupBy("suffix").agg(F.sum("n_d").alias("n_s"), F.sum("bad_d").alias("bad_s")))
+    sums = lambda rows, level: rows.select(F.col("n" + level).alias("n"), F.col("bad" + level).alias("bad"))
+    k_s, k_d = _strength(sums(suffixes, "_s"), "k_s", limits), _strength(sums(domains, "_d"), "k_d", limits)
+    k_h = _strength(sums(own, ""), "k_h", limits)
     # Three tables of one row each.
     priors = k_s.crossJoin(k_d.select("k_d")).crossJoin(k_h.select("k_h"))
 
-    by_suffix = suffixes.crossJoin(F.broadcast(priors)).select(
-        "suffix", "k_d", "k_h", ((F.col("bad") + F.col("k_s") * F.col("p_k_s")) / (F.col("n") + F.col("k_s"))).alias("m_s"),
-    )
-    by_domain = domains.join(by_suffix, "suffix").select(
-        "domain", "k_h", ((F.col("bad") + F.col("k_d") * F.col("m_s")) / (F.col("n") + F.col("k_d"))).alias("m_d"),
-    )
+    rows = known.join(domains.drop("suffix"), "domain", "left").join(suffixes, "suffix", "left")
+    rows = rows.fillna(0, ["n", "bad", "n_d", "bad_d", "n_s", "bad_s"]).crossJoin(F.broadcast(priors))
+    rows = rows.withColumn("m_s", (F.col("bad_s") + F.col("k_s") * F.col("p_k_s")) / (F.col("n_s") + F.col("k_s")))
+    rows = rows.withColumn("m_d", (F.col("bad_d") + F.col("k_d") * F.col("m_s")) / (F.col("n_d") + F.col("k_d")))
     a = F.col("bad") + F.col("k_h") * F.col("m_d")
     b = F.col("n") - F.col("bad") + F.col("k_h") * (1 - F.col("m_d"))
     mean = a / (a + b)
     bound = mean - F.lit(limits.z) * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return hosts.join(by_domain, "domain").select(
+    return rows.select(
         "host", "n", "bad", mean.alias("bad_share"), bound.alias("bound"), (bound >= limits.max_bad).alias("blocked"),
     )
 
@@ -114,8 +128,10 @@ def judge(
     """(id, host, path, rule, verdict) per page: the longest fitting rule's verdict, else its host's.
 
     A page's outcome is bad where a label of its id says quality 0 or toxic 1; pages with several labels are
-    bad if one says so, labels with neither value say nothing. Hosts without outcomes, and addresses without
-    a host, are allowed unless a rule says otherwise. Null addresses have empty host and path. Repeated rows
+    bad if one says so, labels with neither value say nothing. Hosts without outcomes are judged by the prior of
+    their registered domain, suffix or all pages; a domain is the last two labels of a host unless
+    ``limits.shared_suffixes`` names a longer suffix. Addresses without a host, and all where nothing is labelled,
+    are allowed unless a rule says otherwise. Null addresses have empty host and path. Repeated rows
     each come back and count as one page each; null ids have no label. Other columns are ignored; empty
     tables are fine.
 
@@ -127,8 +143,9 @@ def judge(
     said = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
     marks = labels.filter(said).groupBy(F.col(label_id_col).alias("_label_id")).agg(F.max(bad).alias("bad"))
-    outcomes = hosts.filter("host != ''").join(materialise(marks), F.col("_id") == F.col("_label_id")).select("host", "bad")
-    blocked = materialise(host_reputation(outcomes, limits).filter("blocked").select(F.col("host").alias("_host"), F.lit("block").alias("_verdict")))
+    named = hosts.filter("host != ''")
+    outcomes = named.join(materialise(marks), F.col("_id") == F.col("_label_id")).select("host", "bad")
+    blocked = materialise(host_reputation(outcomes, limits, named.select("host").distinct()).filter("blocked").select(F.col("host").alias("_host"), F.lit("block").alias("_verdict")))
     found = hosts.join(blocked, F.col("host") == F.col("_host"), "left").withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     return found.select(
         F.col("_id").alias(id_col), "host", "path", F.col("_rule.rule").alias("rule"),
@@ -155,9 +172,14 @@ m as (select level, sum(n) as n, sum(bad) as bad, count(*) as g, sum(n * n) as n
              (sum(bad) + 1) / (sum(n) + 2) as p from levels group by level),
 b as (select *, (ss - 2 * p * bad + p * p * n - (g - 1) * p * (1 - p)) / (n - n2 / n) as between_ from m),
 k as (select level, p, greatest(1.0, least(10000.0, case when n - n2 / n > 0 and between_ > 0 then p * (1 - p) / between_ - 1 else 10000.0 end)) as k from b),
-ms as (select suffix, (bad + k * p) / (n + k) as m from s, k where level = 's'),
-md as (select domain, (bad + k * ms.m) / (n + k) as m from d join ms using (suffix), k where level = 'd'),
-ab as (select host, bad + k * md.m as a, n - bad + k * (1 - md.m) as b from gd join md using (domain), k where level = 'h'),
+u as (select distinct host, array_to_string(string_split(host, '.')[-2:], '.') as domain, string_split(host, '.')[-1] as suffix
+      from h where host != ''),
+ms as (select v.suffix, (coalesce(bad, 0) + k * p) / (coalesce(n, 0) + k) as m
+       from (select distinct suffix from u) v left join s using (suffix), k where level = 's'),
+md as (select v.domain, (coalesce(bad, 0) + k * ms.m) / (coalesce(n, 0) + k) as m
+       from (select distinct domain, suffix from u) v join ms using (suffix) left join d using (domain), k where level = 'd'),
+ab as (select u.host, coalesce(bad, 0) + k * md.m as a, coalesce(n - bad, 0) + k * (1 - md.m) as b
+       from u join md using (domain) left join g using (host), k where level = 'h'),
 rep as (select host from ab where a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) >= 0.25),
 r as (select page_id, host, path,
         case when (host = 'example.org' or suffix(host, '.example.org')) and starts_with(path, '/en/1') then 'example.org/en/1'

@@ -42,7 +42,58 @@ def test_hosts_of_bad_outcomes_are_blocked(spark):
     labels = [(i, 0, 0) for i in range(40)] + [(100 + i, 1, 0) for i in range(200)] + [(5, None, None), (None, 0, 1), (0, 0, 0)]
     got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     verdicts = {(r.host, r.verdict) for r in got.collect()}
-    assert verdicts == {("bad.spam.net", "block"), ("good.fine.net", "allow"), ("new.spam.net", "allow")} and got.count() == len(pages)
+    assert verdicts == {("bad.spam.net", "block"), ("good.fine.net", "allow"), ("new.spam.net", "block")} and got.count() == len(pages)
+
+
+def posterior(outcomes, host, z=1.645):
+    """Lower bound of a host's bad share in plain Python, from (host, bad) pairs; the last two labels are a domain."""
+    place = [lambda h: h, lambda h: ".".join(h.split(".")[-2:]), lambda h: h.split(".")[-1]]
+    mean = (sum(b for _, b in outcomes) + 1) / (len(outcomes) + 2)
+    p = mean
+    for of in reversed(place):
+        groups = {}
+        for h, b in outcomes:
+            groups.setdefault(of(h), []).append(b)
+        n = len(outcomes)
+        between = sum(len(g) * (sum(g) / len(g) - p) ** 2 for g in groups.values()) - (len(groups) - 1) * p * (1 - p)
+        size = n - sum(len(g) ** 2 for g in groups.values()) / n
+        k = p * (1 - p) / (between / size) - 1 if size > 0 and between > 0 else 10_000.0
+        k = max(1.0, min(10_000.0, k))
+        mine = groups.get(of(host), [])
+        a, b = sum(mine) + k * mean, len(mine) - sum(mine) + k * (1 - mean)
+        mean = a / (a + b)
+    return mean - z * (a * b / ((a + b) ** 2 * (a + b + 1))) ** 0.5
+
+
+def test_hosts_without_outcomes_take_the_prior_of_their_domain_suffix_or_all(spark):
+    random.seed(3)
+    share = {"a.bad.biz": 0.9, "b.bad.biz": 0.8, "c.worse.biz": 0.95, "x.good.net": 0.05, "y.good.net": 0.0, "z.fair.net": 0.2, "one": 0.3}
+    outcomes = [(h, int(random.random() < s)) for h, s in share.items() for _ in range(40)]
+    fresh = ["new.bad.biz", "new.unseen.biz", "new.good.net", "new.unseen.net", "new.unseen.info", "solo"]
+    rows = spark.createDataFrame(outcomes, "host string, bad int")
+    hosts = spark.createDataFrame([(h,) for h in fresh + ["a.bad.biz"]], "host string")
+    got = {r.host: r for r in urls.host_reputation(rows, hosts=hosts).collect()}
+    assert got.keys() == share.keys() | set(fresh)
+    for host, r in got.items():
+        assert r.bound == pytest.approx(posterior(outcomes, host), abs=1e-9) and r.blocked == (r.bound >= 0.25)
+    assert got["new.bad.biz"].blocked and not got["new.good.net"].blocked and got["new.bad.biz"].n == 0
+    assert got["new.bad.biz"].bad_share > got["new.unseen.info"].bad_share > got["new.good.net"].bad_share
+
+
+def test_nothing_is_blocked_where_nothing_is_labelled(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/"), (2, None)], "page_id long, url string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.verdict for r in urls.judge(pages, labels).collect()} == {"allow"}
+
+
+def test_domains_below_shared_suffixes(spark):
+    hosts = spark.createDataFrame([("x.a.co.uk",), ("a.co.uk",), ("co.uk",), ("x.b.uk",), ("eco.uk",), ("",)], "host string")
+    shared = ("uk", "co.uk")
+    got = [tuple(r) for r in hosts.select("host", urls.domain_of(hosts.host, shared), urls.suffix_of(hosts.host, shared)).collect()]
+    assert got == [
+        ("x.a.co.uk", "a.co.uk", "co.uk"), ("a.co.uk", "a.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"),
+        ("x.b.uk", "b.uk", "uk"), ("eco.uk", "eco.uk", "uk"), ("", "", ""),
+    ]
 
 
 def test_languages_of_pages(spark):
