@@ -16,6 +16,7 @@ from assay.session import materialise
 
 ROWS = 5  # minima per band
 CELL = 128  # documents per side of a comparison cell
+HUB_ROUNDS = 4  # rounds of fresh hubs after the first; what they leave open is compared in cells
 SLICE = 1 << 15  # shingles of a cell that are compared at a time
 _U = np.uint64
 
@@ -100,6 +101,47 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shing
     return materialise(both.select("u", "v", "text_u", "text_v").mapInPandas(work, "u long, v long"))
 
 
+def _agreeing(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """The (u, v) of ``pairs`` whose minima agree in ``least`` places or more."""
+    side = lambda s: reps.select(F.col("rep").alias(s), F.col("minima").alias(f"minima_{s}"))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            good = [
+                np.count_nonzero(np.frombuffer(a, np.uint32) == np.frombuffer(b, np.uint32)) >= least
+                for a, b in zip(batch["minima_u"], batch["minima_v"])
+            ]
+            yield batch.loc[np.array(good, bool), ["u", "v"]]
+
+    return materialise(pairs.join(side("u"), "u").join(side("v"), "v").mapInPandas(work, "u long, v long"))
+
+
+def _hub_pairs(labelled: DataFrame, turn: int) -> DataFrame:
+    """(u, v): members outside the largest component of their bucket with a fresh hub inside it and one outside.
+
+    At most two pairs per such member, so a round costs no more than what is still apart.
+    """
+    sizes = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    big = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("comp", F.struct("n", "comp")).alias("big"))
+    apart = materialise(labelled.join(big.filter("parts > 1").drop("parts"), "key"))
+    draw, inside = F.xxhash64("rep", "key", F.lit(turn)), F.col("comp") == F.col("big")
+    node = F.struct(F.col("rep").alias("hub"), F.col("comp").alias("hub_comp"))
+    hubs = apart.groupBy("key").agg(
+        F.min_by(F.when(inside, node), F.when(inside, draw)).alias("in_"), F.min_by(F.when(~inside, node), F.when(~inside, draw)).alias("out_"),
+    )
+    met = apart.filter("comp != big").join(materialise(hubs), "key").select("rep", "comp", F.inline(F.array("in_", "out_")))
+    return met.filter("comp != hub_comp").select(F.greatest("rep", "hub").alias("u"), F.least("rep", "hub").alias("v")).distinct()
+
+
+def _contracted(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """``labelled`` with the components that ``links`` join as one."""
+    of = labelled.select("rep", "comp").distinct()
+    ends = links.join(of.select(F.col("rep").alias("u"), F.col("comp").alias("cu")), "u").join(of.select(F.col("rep").alias("v"), F.col("comp").alias("cv")), "v")
+    parts = connected_components(ends.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+    out = labelled.join(materialise(parts), F.col("comp") == F.col("node"), "left")
+    return materialise(out.select("key", "rep", F.coalesce("component", "comp").alias("comp")))
+
+
 CELL_KEY = ["key", "r", "c"]
 
 
@@ -197,8 +239,9 @@ def near_duplicates(
     Equal sets are one class, represented by its smallest id. Representatives meet in bands of ROWS hash
     minima; enough bands are taken that a pair at the threshold is missed with probability ``miss``. Each
     bucket's members are first confirmed against one of them, drawn by hash, so that a large group is linked
-    through several hubs; what lies in different components of a bucket after that is compared across
-    components in cells of bounded size by its minima, then confirmed on full sets too. A cell with more
+    through several hubs. Members outside the largest component of their bucket then meet a fresh hub inside it
+    and one outside, round by round, until a round links nothing or HUB_ROUNDS are over. What lies in different
+    components of a bucket after that is compared across components in cells of bounded size by its minima, then confirmed on full sets too. A cell with more
     likely pairs than rows is compared whole and gives only the links that join components. So a bucket with
     a third of all rows costs about one comparison per row unless it truly holds several groups, no list of
     all pairs arises, and no link is lost.
@@ -229,6 +272,15 @@ def near_duplicates(
 
     labelled = members.join(parts, members.rep == parts.node, "left")
     labelled = materialise(labelled.select("key", "rep", F.coalesce("component", "rep").alias("comp")))
+    share = percent / 100
+    least = math.floor(n_hashes * share - 5 * math.sqrt(n_hashes * share * (1 - share)))
+    tried = first
+    for turn in range(HUB_ROUNDS):
+        pairs = _agreeing(_hub_pairs(labelled, turn).join(tried, ["u", "v"], "left_anti"), reps, least)
+        new = confirm(pairs, docs, id_col, text_col, shingle, percent)
+        if new.isEmpty():
+            break
+        links, tried, labelled = links.union(new), tried.union(pairs), _contracted(labelled, new)
     sizes = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("key").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max("n").alias("n_big"), F.max_by("comp", F.struct("n", "comp")).alias("big"),
@@ -236,7 +288,9 @@ def near_duplicates(
     split = split.select(
         "key", "big", F.ceil(F.col("n") / CELL).cast("int").alias("n_r"), F.ceil((F.col("n") - F.col("n_big")) / CELL).cast("int").alias("n_c"),
     )
-    open_rows = labelled.join(materialise(split), "key").join(reps.select("rep", "minima"), "rep")
+    # The minima are joined once per representative; its open buckets, one a band at most, travel as a list.
+    spots = labelled.join(materialise(split), "key").groupBy("rep").agg(F.collect_list(F.struct("key", "comp", "big", "n_r", "n_c")).alias("spots"))
+    open_rows = spots.join(reps.select("rep", "minima"), "rep").select("rep", "minima", F.inline("spots"))
     spot = F.xxhash64("rep", "key")
     rows = open_rows.select(
         "key", F.pmod(spot, "n_r").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("n_c") - 1)).alias("c"),
@@ -246,11 +300,9 @@ def near_duplicates(
         "key", F.explode(F.sequence(F.lit(0), F.col("n_r") - 1)).alias("r"), F.pmod(spot, "n_c").cast("int").alias("c"),
         "rep", "comp", F.lit(1).alias("side"), "minima",
     )
-    share = percent / 100
-    least = math.floor(n_hashes * share - 5 * math.sqrt(n_hashes * share * (1 - share)))
     cells = materialise(rows.union(columns))
     likely = _likely(cells, least)
-    pairs = likely.filter("u is not null").select("u", "v").distinct().join(first, ["u", "v"], "left_anti")
+    pairs = likely.filter("u is not null").select("u", "v").distinct().join(tried, ["u", "v"], "left_anti")
     links = links.union(confirm(pairs, docs, id_col, text_col, shingle, percent))
     whole = likely.filter("u is null").select(*CELL_KEY).distinct()
     if not whole.isEmpty():

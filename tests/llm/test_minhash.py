@@ -70,6 +70,26 @@ def test_dense_group_of_partly_linked_copies(spark, monkeypatch):
     assert {r.component_id for r in got if r.doc_id >= 1000} == {1000}
 
 
+def test_large_group_of_copies_around_the_threshold(spark, monkeypatch):
+    """Copies of one text at 80 to 90 % of each other, and of a second that shares part of it: whole result, few open rows."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(200)]
+    other = base[:90] + [f"o{i}" for i in range(110)]
+    rows = [(i, varied(rng, base, rng.randrange(3, 7))) for i in range(250)] + [(1000 + i, varied(rng, other, rng.randrange(3, 7))) for i in range(100)]
+    check(spark, rows, 3, 85)
+    monkeypatch.setattr(minhash, "HUB_ROUNDS", 0)  # the cells alone give the same rows
+    check(spark, rows, 3, 85)
+
+
+def test_hub_rounds_meet_each_member_apart_twice_at_most(spark):
+    rows = [(k, r, 1 if r < 60 else r) for k in (7, 8) for r in range(1, 101)] + [(9, r, 5) for r in range(200, 230)]
+    labelled = spark.createDataFrame(rows, "key long, rep long, comp long")
+    pairs = [tuple(r) for r in minhash._hub_pairs(labelled, 0).collect()]
+    apart = set(range(60, 101))
+    assert len(pairs) == len(set(pairs)) <= 2 * 2 * len(apart)
+    assert all(u > v and u in apart and (v < 60 or v in apart) for u, v in pairs) and {u for u, v in pairs if v < 60} == apart
+
+
 def test_null_ids_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (3, "a b c d")], "doc_id long, text string")
     got = sorted(map(tuple, minhash.near_duplicates(docs, shingle=3).collect()), key=str)
