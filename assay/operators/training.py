@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from assay import thresholds as th
 from assay.functions import values as fv
-from assay.operators import importance, metrics, normal, oversample, prepare, splits
+from assay.operators import importance, metrics, normal, oversample, prepare, splits, strata
 from assay.operators.fitting import FeaturePlan, Preparation, fit_preparation
 from assay.operators.models import Budget, Spec, fit, sampled_params
 from assay.operators.stages import LabelNames
@@ -170,10 +170,12 @@ def _board(task: Task, predictions: DataFrame, order: list[str]) -> tuple[DataFr
 
 
 def split(df: DataFrame, task: Task, test_share: float) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows with a target; by class where the target is one."""
+    """Train and test rows with a target; by class where the target is one, by value where every number repeats."""
     given = df.where(F.col(task.target).isNotNull())
     if task.classification:
         marked = splits.stratified_split(given, ROW, task.target, test_share, task.seed)
+    elif strata.repeats(given, task.target):
+        marked = strata.value_split(given, ROW, task.target, test_share, task.seed)
     else:
         marked = splits.random_split(given, ROW, test_share, task.seed)
     marked = materialise(marked)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from assay.operators import metrics, prepare, splits
+from assay.operators import metrics, prepare, splits, strata
 from assay.operators.counts import KEY, with_dataset
 from assay.operators.ranks import shuffled_rank
 from assay.functions import values as fv
@@ -47,6 +47,46 @@ def kfolds(spark, folder):
     return splits.folds(table(spark, folder, "orders"), "o_orderkey", 3, SEED).select("o_orderkey", "fold")
 
 
+# The month of an order: twelve values, all frequent.
+BY_MONTH = "select o_orderkey, cast(month(o_orderdate) as double) as y from {orders}"
+# Months, prices in steps of 5,000 for one order in 20, none for one in 50: values from one row to thousands.
+MIXED = """
+    select o_orderkey, case when o_orderkey % 50 = 7 then null when o_orderkey % 20 = 0 then floor(o_totalprice / 5000) + 100
+           else month(o_orderdate) end as y from (select o_orderkey, o_orderdate, o_totalprice from {orders}) o"""
+
+
+def _strata_sql(rows: str, least: int, run: int) -> str:
+    """Common tables up to r(o_orderkey, y, place): the row's number, stratum by stratum."""
+    return f"""
+    with t as (select o_orderkey, cast(y as double) as y from ({rows.replace('{orders}', 'orders')}) x where y is not null),
+    v as (select y, count(*) as n, count(*) < {least} as rare from t group by y),
+    b as (select *, coalesce(sum(n) over (order by rare desc, y rows between unbounded preceding and 1 preceding), 0) as before,
+            (select sum(n) from v where rare) as rare_rows from v),
+    s as (select *, case when rare then -1 - least(before // {run}, greatest(rare_rows // {run}, 1) - 1) else before end as stratum from b),
+    f as (select y, stratum, min(before) over (partition by stratum) as first from s),
+    r as (select o_orderkey, y, cast(first + row_number() over (partition by stratum order by md5(o_orderkey || '|42')) - 1 as bigint) as place
+          from t join f using (y))"""
+
+
+def _targets(spark, folder, text):
+    return spark.sql(text, orders=table(spark, folder, "orders")).withColumn("y", F.col("y").cast("double"))
+
+
+@query("value_split", _strata_sql(BY_MONTH, 10, 100) + " select o_orderkey, y, (place + 1) // 5 > place // 5 as is_test from r")
+def value_split(spark, folder):
+    return strata.value_split(_targets(spark, folder, BY_MONTH), "o_orderkey", "y", 0.2, SEED)
+
+
+@query("value_split_rare", _strata_sql(MIXED, 10, 100) + " select o_orderkey, y, ((place + 1) * 3) // 10 > (place * 3) // 10 as is_test from r")
+def value_split_rare(spark, folder):
+    return strata.value_split(_targets(spark, folder, MIXED), "o_orderkey", "y", 0.3, SEED)
+
+
+@query("value_folds", _strata_sql(MIXED, 10, 100) + " select o_orderkey, y, cast(place % 5 as int) as fold from r")
+def value_folds(spark, folder):
+    return strata.value_folds(_targets(spark, folder, MIXED), "o_orderkey", "y", 5, SEED)
+
+
 @query("time_folds", """
     with c as (select quantile_cont(epoch_us(ts)::double, [0.25, 0.5, 0.75]) as q from events)
     select event_id, cast(len(list_filter(q, lambda x: x <= epoch_us(ts))) as int) as time_block from events cross join c""")
