@@ -6,6 +6,8 @@ hex digit of md5(dataset_id); folds come from a row digest.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from assay import thresholds as th
@@ -15,6 +17,9 @@ from assay.operators.counts import KEY
 from assay.plans import rules
 from assay.queries.base import query
 from assay.queries.study import EACH_DUCK, EACH_SPARK, PLAN_CTES, SIGNAL_CTES, study_plan, study_signals
+from assay.session import materialise, shared_folder
+from assay.sources import runlog
+from assay.sources.artefacts import append_history
 from assay.sources.tables import read_table
 
 BASE = """
@@ -422,6 +427,21 @@ def history_latest(spark, folder):
         "dataset", "fingerprint", F.col("rows").alias("n_row"), F.col("cols").alias("n_col"), "verdict", "best_model")
 
 
+@query("history_compacted", f"with {LOG_CTES} select dataset, fingerprint, rows_ as n_row, cols_ as n_col, verdict, best_model from store")
+def history_compacted(spark, folder):
+    """The store out of a log that was appended to three times and compacted in between."""
+    log = study_log(spark, folder).withColumns({
+        "seen_at": F.col("seen_at").cast("timestamp"), "score": F.lit(None).cast("double"), "status": F.lit(None).cast("string")})
+    log = materialise(log)
+    home = f"{shared_folder(spark).rstrip('/')}/runlog-{uuid.uuid4().hex}"
+    for part in range(3):
+        append_history(log.where(F.pmod(F.xxhash64("fingerprint"), F.lit(3)) == part), home)
+        if part < 2:
+            runlog.compact(spark, home)
+    return history.latest(runlog.read(spark, home)[0]).select(
+        "dataset", "fingerprint", F.col("rows").alias("n_row"), F.col("cols").cast(log.schema["cols"].dataType).alias("n_col"), "verdict", "best_model")
+
+
 # Requests: a third of the datasets come back unchanged, a third renamed in the file only, a third renamed altogether.
 @query("history_lookup", f"""with {LOG_CTES},
     want as (select dataset_id, cast(n_row as bigint) as rows_, n_col as cols_, 'target' as target,

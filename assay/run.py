@@ -18,6 +18,7 @@ from assay.operators.fitting import feature_plan
 from assay.operators.models import Budget, Spec
 from assay.operators.signals import profile_notes, signals
 from assay.plans import replan as rp, rules
+from assay.sources import runlog
 from assay.sources.artefacts import append_history, read_history
 from assay.session import materialise
 from assay.settings import Limits
@@ -53,9 +54,11 @@ def auto_model(
 
     ``store`` is the run history (latest records), ``failed`` the targets given up before. No step is skipped
     and no row or column left out because of the table's size unless ``limits`` says so. With a
-    ``history_folder`` the run's record is appended there, and the log there is the store if none is given.
+    ``history_folder`` the run's record is appended there, and the log there is the store if none is given;
+    files of that log with broken lines are moved to its quarantine folder first.
     """
     if history_folder is not None and store is None:
+        runlog.quarantine(df.sparkSession, history_folder)
         store = history.latest(read_history(df.sparkSession, history_folder)[0])
     before = df.count()
     df = materialise(quality.drop_duplicates(df))
