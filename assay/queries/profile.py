@@ -11,6 +11,7 @@ from assay.functions import values as fv
 from assay.operators import leakage, pairs, quality, schema, sketches, target as tg
 from assay.operators.counts import KEY, TableInfo, value_counts, with_dataset
 from assay.queries.base import columns_of, duck, duck_number, duck_stats, query, table
+from assay.session import materialise
 from assay.sources.tables import missing_to_null
 
 
@@ -301,7 +302,7 @@ def leak_bijection(spark, folder):
 
 def _hard(spark, folder):
     df = dataset(spark, folder, "v_leak")
-    joint = value_counts(df, target="target")
+    joint = materialise(value_counts(df, target="target"))
     return leakage.hard_leakage(joint, schema.column_stats(joint, TableInfo.of(df)), "target")
 
 
