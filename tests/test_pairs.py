@@ -119,3 +119,21 @@ def test_a_single_table_is_not_sorted(spark):
     df = with_dataset(spark.range(100).selectExpr("id a", "id * 2 b"))
     plan = pairs.correlation_pairs(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort " not in plan
+
+
+def test_few_rows_of_many_datasets_travel_as_values(spark):
+    n, w = 240, 6
+    rows, df = frame(spark, w, n, tuple(f"s{k:03}" for k in range(80)))
+    rows += [("big", *map(float, r)) for r in np.random.default_rng(7).normal(size=(400, w))]
+    df = df.unionByName(spark.createDataFrame(rows[n:], df.schema).coalesce(1))
+    keyed = with_dataset(df, "site").sortWithinPartitions("dataset_id")
+    sums = pairs._partial_sums(keyed.toDF("dataset_id", *[f"x{i}" for i in range(w)]), list(range(w)), list(range(w))).collect()
+    # Three rows a dataset: what travels is never more than the rows themselves.
+    assert all(len(r.sums) <= 3 * w * 8 for r in sums if r.dataset_id != "big")
+    assert [len(r.sums) for r in sums if r.dataset_id == "big"] == [7 * w * w * 8]
+    got = {(r.dataset_id, r.col_a, r.col_b): (r["corr"], r.n_pairs) for r in pairs.correlation_pairs(with_dataset(df, "site")).collect()}
+    for key in ("s000", "s041", "s079", "big"):
+        own = [r for r in rows if r[0] == key]
+        for i in range(w):
+            for j in range(i + 1, w):
+                check(got.get((key, f"c{i}", f"c{j}")), [r[i + 1] for r in own], [r[j + 1] for r in own])
