@@ -233,3 +233,38 @@ def test_both_ways_of_leaks_keep_every_row(spark):
     for bound in (tiling.BROADCAST_TOKENS, 0):
         got = [(r.doc_id, r.item_id, r.covered_tokens) for r in tiling.contaminated(table, bench, broadcast_tokens=bound).collect()]
         assert sorted(got, key=str) == sorted([(1, 10, 30), (None, None, 30), (2, 11, 3), (4, 12, 20), (5, 11, 3), (5, 11, 3)], key=str)
+
+
+def test_windows_of_a_run_of_texts_are_found_at_once(monkeypatch):
+    """The same rows as text by text, but lookups do not grow with the number of texts."""
+    import pandas as pd
+
+    class Frame:
+        def sortWithinPartitions(self, *_):
+            return self
+
+        def mapInPandas(self, work, _):
+            return work
+
+    monkeypatch.setattr(suffixes, "materialise", lambda df: df)
+    work = suffixes.windows_around(Frame())
+    texts = [t for _, t in texts_with_repeats(2) if t and len(t.encode()) >= suffixes.LENGTH] * 4
+    places = [[] for _ in texts]
+    for doc, at, hashes, _, _ in suffixes.anchors_of([t.encode() for t in texts]):
+        for i, p, h in zip(doc.tolist(), at.tolist(), (hashes % np.uint64(3)).tolist()):
+            places[i] += [[p], [~p], []][h]
+    calls, isin = [], np.isin
+    monkeypatch.setattr(np, "isin", lambda *a, **k: calls.append(1) or isin(*a, **k))
+
+    def spread(rows):
+        out = []
+        for i in rows:
+            for part in work(iter([pd.DataFrame({"id": i, "text": [texts[j] for j in i], "places": [places[j] for j in i]})])):
+                out += part[part["mask"] == 0][["id", "near", "far", "around"]].itertuples(index=False, name=None)
+        return out
+
+    whole = spread([range(len(texts))])
+    assert len(calls) <= 4  # two a run
+    single = spread([[i] for i in range(len(texts))])
+    seen_before = {r for r in single} - {r for r in whole}
+    assert set(whole) <= set(single) and all(r[1] == r[2] for r in seen_before)  # only hot windows are remembered
