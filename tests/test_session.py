@@ -35,3 +35,14 @@ def test_the_setting_lasts_until_the_last_write(spark):
             pass
         assert spark.conf.get(session._SHUFFLES_GO, None) == "true"
     assert spark.conf.get(session._SHUFFLES_GO, None) is None
+
+
+def test_passing_tables_go_but_the_last_and_older_ones(spark):
+    older = session.materialise(spark.range(3))
+    before = session.tables_written()
+    passing = session.materialise(spark.range(4))
+    last = session.materialise(passing.filter("id > 0"))
+    session.drop_passing(spark, before)
+    assert session.tables_written() == [*before, session.tables_written()[-1]]
+    assert (older.count(), last.count()) == (3, 3)
+    assert not os.path.exists(passing.inputFiles()[0].removeprefix("file:"))
