@@ -268,3 +268,49 @@ def test_windows_of_a_run_of_texts_are_found_at_once(monkeypatch):
     single = spread([[i] for i in range(len(texts))])
     seen_before = {r for r in single} - {r for r in whole}
     assert set(whole) <= set(single) and all(r[1] == r[2] for r in seen_before)  # only hot windows are remembered
+
+
+def test_packed_seeds_come_back_and_meet_their_first_holder(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdef", k=rng.randrange(0, 60))) for _ in range(60)] + ["a " * 30, "", None]
+    rows = [(rng.choice([7, -3, 2**40]) * i, t) for i, t in enumerate(texts)]
+    held = []
+    for i, t in rows:
+        values = chaining.grams(word_hashes([(t or "").encode()])[0], chaining.SEED_WORDS)
+        held += [(int(values[p].view(np.int64)), i, int(p)) for p in chaining.winnow(values, 1)]
+    first, last = {}, {}
+    for s, i, p in held:
+        first[s], last[s] = min(first.get(s, (i, p)), (i, p)), max(last.get(s, i), i)
+    want = sorted((s, i, p, *first[s]) for s, i, p in held if last[s] > first[s][0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for opened in (chaining.RUN_ROWS, 9):  # the second opens buckets in many parts
+        monkeypatch.setattr(chaining, "RUN_ROWS", opened)
+        packed = chaining.packed_seeds(docs, "doc_id", "text", 8)
+        got = chaining._matched(packed, 8)
+        assert sorted(map(tuple, got.collect())) == want
+        again = chaining._matched(chaining.packed_rows(got.select("seed", "id", "pos"), 9), 9)
+        assert sorted(map(tuple, again.collect())) == want
+    assert packed.columns == ["bucket", "rest", "ids", "sizes", "gaps"]
+
+
+def test_pairs_in_turns_and_their_score_bound(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(4000)}" for _ in range(120)]
+    rows = [(0, " ".join(base))] + [(i, " ".join([f"x{i}"] * 9 + base[i : i + 70] + [f"y{i}"])) for i in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = spark.createDataFrame([(i, j, []) for i in range(1, 9) for j in range(i)], "id long, first_id long, seeds array<long>")
+    found = []
+    for turns in (chaining.MOST_TURNS, 1):
+        monkeypatch.setattr(chaining, "MOST_TURNS", turns)
+        found.append(sorted(map(tuple, chaining._aligned(pairs, docs, "doc_id", "text", 40, 80).collect())))
+    assert found[0] == found[1] and len(found[0]) == 36
+    for seed in range(200):
+        rng = np.random.default_rng(seed)
+        x, y = (rng.integers(0, 6, 80).astype(np.uint64) for _ in range(2))
+        at = chaining._Runs(y).shared(x)
+        met = chaining.matches(x, y, *chaining._Runs(y).anchors(*at))
+        best = next(chaining.chains(met, 0.0), None)
+        if best is not None:
+            parts = met[best]
+            gaps = int((parts[1:, :2] - parts[:-1, :2] - parts[:-1, 2:]).sum())
+            assert int(parts[:, 2].sum()) - chaining.GAP_COST * gaps <= chaining._score_bound(at[0])
