@@ -1,11 +1,15 @@
 """Repeated bytes, repeated passages and benchmark tiles against brute-force versions."""
 
 import random
+import re
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
 from assay.llm import chaining, suffixes, tiling
 from assay.llm.words import word_hashes
+from assay.session import BATCH_BYTES, small_batches
 
 
 def brute_removed(rows):
@@ -314,3 +318,47 @@ def test_pairs_in_turns_and_their_score_bound(spark, monkeypatch):
             parts = met[best]
             gaps = int((parts[1:, :2] - parts[:-1, :2] - parts[:-1, 2:]).sum())
             assert int(parts[:, 2].sum()) - chaining.GAP_COST * gaps <= chaining._score_bound(at[0])
+
+
+def test_links_of_many_documents_are_those_of_each(spark):
+    """A batch of documents is linked at once, and lists of seeds reach Python as plain arrays, not as structs."""
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(-(2**62), 2**62)), d, int(p)) for d in (3, 4, 90, 7 << 33) for p in rng.choice(300, 120, replace=False)] + [(1, 5, 0), (2, 5, 17)]
+    least, most = chaining.LINK_WORDS
+    expected = set()
+    for d in {r[1] for r in rows}:
+        own = sorted((p, s) for s, at, p in rows if at == d)
+        for p, s in own:
+            rank = lambda t: int(chaining.mix(np.array([t % 2**64], np.uint64) + np.uint64(0x51ED270B))[0]) >> 32
+            ahead = [(rank(t), q, t) for q, t in own if least <= q - p <= most]
+            if ahead:
+                _, q, t = min(ahead)
+                link = chaining.mix(np.array([s % 2**64], np.uint64) * np.uint64(0x2545F4914F6CDD1D) + np.array([t % 2**64], np.uint64))
+                expected.add((int(link.view(np.int64)[0]), d, p, q))
+    got = chaining._links(spark.createDataFrame(rows, "seed long, id long, pos int"))
+    assert len(expected) > 300 and {tuple(r) for r in got.collect()} == expected
+    handed = got._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"MapInPandas work\(id#\d+L, pos#\d+, seed#\d+\)", handed)
+
+
+def test_texts_reach_python_in_batches_of_bounded_size(spark):
+    """One thousand rows of long texts or packed seeds must not come at once."""
+    small_batches(spark)
+    texts = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    sizes = texts.mapInPandas(lambda batches: (pd.DataFrame({"n": [b["text"].str.len().sum()]}) for b in batches), "n long").collect()
+    assert sum(r["n"] for r in sizes) == 60_000_000 and max(r["n"] for r in sizes) < 2 * BATCH_BYTES
+
+
+def test_few_pairs_of_long_texts_go_in_turns_too(spark, monkeypatch):
+    """What a turn moves is text, however few pairs hold it."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(9000)}" for _ in range(900)]
+    rows = [(i, " ".join(base[i : i + 800])) for i in range(6)] + [(i, "short") for i in range(6, 106)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = spark.createDataFrame([(i, j, []) for i in range(6) for j in range(i)], "id long, first_id long, seeds array<long>")
+    turns = []
+    write = chaining.write_table
+    monkeypatch.setattr(chaining, "write_table", lambda df: turns.append(1) or write(df))
+    found = chaining._aligned(pairs, docs, "doc_id", "text", 40, 80).collect()
+    assert {(r["id"], r["first_id"]) for r in found} == {(i, j) for i in range(6) for j in range(i)}
+    assert len(turns) > 1
