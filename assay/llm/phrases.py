@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -18,6 +19,7 @@ DENSE = 1 << 14  # pairs of one batch of texts from which a tile is counted dens
 HELD = 1 << 20  # sparse pairs held before equal ones are added up
 WORDS = 400_000  # distinct words a task holds
 FILTER_BITS = 28  # a filter of frequent units has at most two to this many bits
+BLOCK_BITS = 20  # bits of a filter that reach the driver as one row: two to this many
 _U = np.uint64
 
 _BREAK = np.zeros(256, bool)
@@ -106,9 +108,17 @@ class Frequent:
         places = F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", 32).bitwiseAND(mask)))
         words = level.select(places.alias("place")).groupBy(F.shiftright("place", 6).alias("slot")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
-        filled = words.toPandas()  # at most 2 ** FILTER_BITS / 64 rows
+        slots = 1 << (min(self.power, BLOCK_BITS) - 6)
+
+        def packed(group: pa.Table) -> pa.Table:
+            block, bits = group["block"][0].as_py(), np.zeros(slots, np.uint64)
+            bits[group["slot"].to_numpy() % slots] = group["bits"].to_numpy().view(np.uint64)
+            return pa.table({"block": pa.array([block], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+        blocks = words.withColumn("block", F.floor(F.col("slot") / slots)).groupBy("block").applyInArrow(packed, "block long, bits binary")
         self.bits = np.zeros(1 << (self.power - 6), np.uint64)
-        self.bits[filled["slot"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64).view(np.uint64)
+        for r in materialise(blocks).toLocalIterator():  # the driver holds the filter and some blocks of it, not a row for each slot
+            self.bits[r["block"] * slots : (r["block"] + 1) * slots] = np.frombuffer(r["bits"], np.uint64)
         top = level.orderBy(F.desc("a"), "key").limit(RANKED).select("key").toPandas()["key"].to_numpy(np.int64).view(np.uint64)
         self.by_rank, self.ids = top, np.argsort(top)
         self.ranked = top[self.ids]

@@ -113,3 +113,25 @@ def test_filter_never_misses(spark):
     others = np.random.default_rng(4).integers(0, 1 << 64, 20_000, dtype=np.uint64)
     assert frequent.has(others).mean() < 0.05
     assert (frequent.rank(keys[-5:].view(np.uint64)) == [4, 3, 2, 1, 0]).all()
+
+
+def test_the_filter_reaches_the_driver_in_blocks(spark, monkeypatch):
+    """No row a slot: at full size these took gigabytes of the driver's Python."""
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(-(2**63), 2**63 - 1, 20_000))
+    level = spark.createDataFrame([(int(k), int(k % 50 + 10)) for k in keys], "key long, a long")
+    fetched = []
+    as_frame = type(level).toPandas
+    monkeypatch.setattr(type(level), "toPandas", lambda df: fetched.append(len(out := as_frame(df))) or out)
+    for bits in (8, 30):  # many blocks, and one that is larger than the filter
+        monkeypatch.setattr(phrases, "BLOCK_BITS", bits, raising=False)
+        units = phrases.Frequent(level)
+        size = 1 << units.power
+        wanted = np.zeros(size, bool)
+        for place in (keys.view(np.uint64), keys.view(np.uint64) >> np.uint64(32)):
+            wanted[place & np.uint64(size - 1)] = True
+        assert (np.unpackbits(units.bits.view(np.uint8), bitorder="little").astype(bool) == wanted).all()
+        assert units.has(keys.view(np.uint64)).all()
+    assert max(fetched) <= phrases.RANKED
+    empty = phrases.Frequent(level.limit(0))
+    assert not empty.bits.any() and len(empty.ranked) == 0
